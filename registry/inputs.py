@@ -10,8 +10,6 @@ import re
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tastegraph.session import fresh_path
-
 GIVEN = (
     "region nation customer supplier part orders lineitem events documents embeddings pages "
     "benchmark labels conversations"
@@ -176,9 +174,3 @@ def tag_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
 def rounded(df: DataFrame, *columns: str, digits: int = 6) -> DataFrame:
     return df.withColumns({c: F.round(c, digits) for c in columns})
 
-
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """Write a table that several passes read to the shared folder."""
-    path = fresh_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)

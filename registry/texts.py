@@ -1 +1,108 @@
-QUERIES = {}
+"""Text functions, run over whole texts."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from registry import sqltext as Q
+from registry.inputs import given, table, with_inputs
+from tastegraph import constants as K
+from tastegraph.functions import scoring
+from tastegraph.functions import text as X
+
+def _each(expression, name):
+    def run(spark, sf):
+        value = expression(F.col("review_text")).alias(name)
+        return table(spark, sf, "reviews").select("review_id", value)
+
+    return run
+
+
+def _md5_tokens(tokens):
+    return F.md5(F.array_join(tokens, " "))
+
+
+def _sql(expression, name):
+    return with_inputs(f"SELECT review_id, {expression} AS {name} FROM reviews")
+
+
+def extract_links(spark, sf):
+    links = X.extract_links(F.col("html"), r'href="(/([^"/?#]+))"')
+    return given(spark, sf, "pages").select("page_id", F.explode(links).alias("link"))
+
+
+def url_unquote(spark, sf):
+    """Addresses with escaped slashes, a plus sign and a stray percent sign."""
+    escaped = F.concat(F.replace("url", F.lit("/"), F.lit("%2F")), F.lit("+%C3%A9%"))
+    return given(spark, sf, "pages").select("page_id", X.url_unquote(escaped).alias("url"))
+
+
+def missing_text_guard(spark, sf):
+    """Converted texts of junk reviews may be empty and then score 0."""
+    converted = X.convert_text(F.col("review_text"), stem=False)
+    value = X.missing_text_guard(F.col("converted_text"), F.lit(0.75))
+    rows = table(spark, sf, "reviews").withColumn("converted_text", converted)
+    return rows.select("review_id", value.alias("value"))
+
+
+def round_percent(spark, sf):
+    share = F.length(F.regexp_replace("review_text", "[^e]", "")) / F.length("review_text")
+    return table(spark, sf, "reviews").select("review_id", scoring.percent(share).alias("percent"))
+
+
+QUERIES = {
+    "text_lower": (_each(lambda t: F.md5(X.lower(t)), "text_md5"), _sql("md5(lower(review_text))", "text_md5")),
+    "tokenize_words": (
+        _each(lambda t: _md5_tokens(X.tokenize_words(t)), "tokens_md5"),
+        _sql(Q.joined(Q.tokens("review_text")), "tokens_md5"),
+    ),
+    "remove_stopwords": (
+        _each(lambda t: _md5_tokens(X.remove_stop_words(X.tokenize_words(F.lower(t)))), "tokens_md5"),
+        _sql(Q.joined(Q.without_stop_words(Q.tokens("lower(review_text)"))), "tokens_md5"),
+    ),
+    "remove_punctuation": (
+        _each(lambda t: _md5_tokens(X.remove_punctuation(X.tokenize_words(t))), "tokens_md5"),
+        _sql(Q.joined(Q.without_punctuation(Q.tokens("review_text"))), "tokens_md5"),
+    ),
+    "join_tokens": (
+        _each(lambda t: F.md5(X.join_tokens(X.tokenize_words(t))), "text_md5"),
+        _sql(Q.joined(Q.tokens("review_text")), "text_md5"),
+    ),
+    "stem_tokens": (
+        _each(lambda t: F.md5(X.stem_text(X.join_tokens(X.tokenize_words(t)))), "text_md5"),
+        None,
+    ),
+    "convert_text": (_each(lambda t: X.convert_text(t), "converted_text"), None),
+    "convert_text_unstemmed": (
+        _each(lambda t: X.convert_text(t, stem=False), "converted_text"),
+        _sql(Q.converted("review_text"), "converted_text"),
+    ),
+    "char_num": (_each(lambda t: X.char_num(t), "char_num"), _sql("CAST(length(review_text) AS INTEGER)", "char_num")),
+    "word_num": (
+        _each(lambda t: X.word_num(t), "word_num"),
+        _sql(f"CAST(len({Q.tokens('review_text')}) AS INTEGER)", "word_num"),
+    ),
+    "sent_num": (
+        _each(lambda t: X.sent_num(t), "sent_num"),
+        _sql(
+            f"CAST(len(regexp_extract_all(review_text, {Q.quoted(K.SENTENCE_PATTERN)})) AS INTEGER)",
+            "sent_num",
+        ),
+    ),
+    "extract_links": (
+        extract_links,
+        """SELECT page_id, unnest(regexp_extract_all(html, 'href="(/([^"/?#]+))"', 2)) AS link FROM pages""",
+    ),
+    "url_unquote": (url_unquote, "SELECT page_id, url || '+é%' AS url FROM pages"),
+    "missing_text_guard": (
+        missing_text_guard,
+        _sql(f"CASE WHEN {Q.converted('review_text')} = '' THEN 0e0 ELSE 75e-2 END", "value"),
+    ),
+    "round_percent": (
+        round_percent,
+        _sql(
+            "ROUND(100e0 * length(regexp_replace(review_text, '[^e]', '', 'g')) / length(review_text), 2)",
+            "percent",
+        ),
+    ),
+}

@@ -84,21 +84,7 @@ def fit_modified_huber(
     weights = np.zeros(size + 1)
     try:
         for number in range(rounds):
-            start = weights
-
-            def train_block(table: pa.Table, start=start, done=number * local) -> pa.Table:
-                table = table.sort_by("place").combine_chunks()
-                lists = table["idx"].combine_chunks()
-                offsets = np.concatenate([[0], np.cumsum(lists.value_lengths().to_numpy())])
-                data = (
-                    offsets,
-                    lists.flatten().to_numpy(),
-                    table["val"].combine_chunks().flatten().to_numpy(),
-                    table[label].to_numpy().astype("float64"),
-                )
-                fitted = local_epochs(data, start, local, done, alpha, eta0, batch)
-                return pa.table({"n": [table.num_rows], "w": [fitted]})
-
+            train_block = _block_trainer(weights, label, local, number * local, alpha, eta0, batch)
             fitted = kept.groupBy("block").applyInArrow(train_block, "n bigint, w array<double>")
             mean = (
                 fitted.select("n", F.posexplode("w").alias("i", "w"))
@@ -109,3 +95,22 @@ def fit_modified_huber(
     finally:
         kept.unpersist()
     return TermClassifier(name, float(weights[-1]), tuple(weights[:-1].tolist()), link="huber")
+
+
+def _block_trainer(weights, label, epochs, done, alpha, eta0, batch):
+    """One round's task: local epochs over a block, from the shared weights."""
+
+    def train_block(table: pa.Table) -> pa.Table:
+        table = table.sort_by("place")
+        idx, val = table["idx"].combine_chunks(), table["val"].combine_chunks()
+        rows = (
+            np.concatenate([[0], np.cumsum(idx.value_lengths().to_numpy())]),
+            idx.flatten().to_numpy(),
+            val.flatten().to_numpy(),
+            table[label].to_numpy().astype("float64"),
+        )
+        fitted = local_epochs(rows, weights, epochs, done, alpha, eta0, batch)
+        size = pa.array([table.num_rows], pa.int64())
+        return pa.table({"n": size, "w": pa.array([fitted], pa.list_(pa.float64()))})
+
+    return train_block

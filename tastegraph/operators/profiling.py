@@ -13,6 +13,7 @@ from tastegraph import constants as K
 from tastegraph.functions import text as X
 from tastegraph.functions.arrays import value_counts as run_counts
 from tastegraph.operators.ranking import exact_quantiles, top_k_per_group
+from tastegraph.session import stage
 
 MEASURES = ("char_num", "word_num", "sent_num")
 
@@ -55,29 +56,49 @@ def class_share(df: DataFrame, column: str = "review_score") -> DataFrame:
     return counts.withColumn("percent", F.round(share, 2))
 
 
+def value_frequencies(df: DataFrame, columns: Sequence[str], group: str | None) -> DataFrame:
+    """(measure, group, v, n): how often each value of each column occurs.
+
+    One pass over the rows with map-side combine; stored, because every statistic
+    below is a sum over this much smaller table.
+    """
+    key = F.col(group) if group else F.lit("all")
+    cells = F.array(
+        *[
+            F.struct(F.lit(c).alias("measure"), F.col(c).cast("double").alias("v"))
+            for c in columns
+        ]
+    )
+    rows = df.select(key.alias(group or "g"), F.inline(cells))
+    rows = rows.na.drop("any", subset=[group or "g", "v"])
+    counts = rows.groupBy("measure", group or "g", "v").agg(F.count(F.lit(1)).alias("n"))
+    return stage(counts, "value-frequencies")
+
+
 def describe_numeric(
     df: DataFrame, columns: Sequence[str] = MEASURES, group: str | None = None
 ) -> DataFrame:
     """count, mean, std (n-1), min, quartiles, max per column, overall or per class."""
     key = group or "g"
-    base = df if group else df.withColumn("g", F.lit("all"))
-    parts = []
-    for column in columns:
-        x = F.col(column).cast("double")
-        plain = base.groupBy(key).agg(
-            F.count(x).alias("n"),
-            F.avg(x).alias("mean"),
-            F.stddev_samp(x).alias("std"),
-            F.min(x).alias("min"),
-            F.max(x).alias("max"),
-        )
-        quartiles = exact_quantiles(df, group, column, (0.25, 0.5, 0.75))
-        joined = plain.join(quartiles, key, "left")
-        parts.append(joined.select(F.lit(column).alias("measure"), *joined.columns))
-    result = parts[0]
-    for part in parts[1:]:
-        result = result.unionByName(part)
-    return result
+    counts = value_frequencies(df, columns, group)
+    total, v, n = F.sum("n"), F.col("v"), F.col("n")
+    means = counts.groupBy("measure", key).agg(
+        total.alias("n"),
+        (F.sum(v * n) / total).alias("mean"),
+        F.min("v").alias("min"),
+        F.max("v").alias("max"),
+    )
+    deviation = v - F.col("mean")
+    spread = (
+        counts.join(means.select("measure", key, "mean"), ["measure", key])
+        .groupBy("measure", key)
+        .agg(F.sqrt(F.try_divide(F.sum(deviation * deviation * n), total - 1)).alias("std"))
+    )
+    quartiles = exact_quantiles(counts, ["measure", key], "v", "n", (0.25, 0.5, 0.75))
+    joined = means.join(spread, ["measure", key]).join(quartiles, ["measure", key])
+    return joined.select(
+        "measure", key, "n", "mean", "std", "min", "p25", "p50", "p75", "max"
+    )
 
 
 def describe_object(df: DataFrame, column: str) -> DataFrame:
@@ -96,29 +117,27 @@ def max_playtime(playtimes: DataFrame) -> DataFrame:
     return playtimes.agg(F.max("playtime_forever").alias("max_playtime"))
 
 
-def bin_widths(df: DataFrame, column: str, group: str, bins: int | None = None) -> DataFrame:
-    """Per group: lowest value, bin width, number of bins.
+def bin_widths(counts: DataFrame, group: str, bins: int | None = None) -> DataFrame:
+    """Per group of a (group, v, n) table: lowest value, bin width, number of bins.
 
     Without ``bins`` the width is the smaller of the Sturges and Freedman-Diaconis
     widths (Sturges alone when the quartile range is zero).
     """
-    x = F.col(column).cast("double")
-    stats = df.filter(x.isNotNull()).groupBy(group)
-    stats = stats.agg(F.count(x).alias("n"), F.min(x).alias("lo"), F.max(x).alias("hi"))
-    span = F.col("hi") - F.col("lo")
+    stats = counts.groupBy(group).agg(
+        F.sum("n").alias("total"), F.min("v").alias("lo"), F.max("v").alias("hi")
+    )
+    span, total = F.col("hi") - F.col("lo"), F.col("total").cast("double")
     if bins is not None:
         sized = stats.withColumn("n_bins", F.lit(bins).cast("long"))
     else:
-        quartiles = exact_quantiles(df, group, column, (0.25, 0.75))
-        sturges = span / (F.log2(F.col("n").cast("double")) + F.lit(1.0))
+        quartiles = exact_quantiles(counts, [group], "v", "n", (0.25, 0.75))
+        sturges = span / (F.log2(total) + F.lit(1.0))
         iqr = F.col("p75") - F.col("p25")
-        freedman = F.lit(2.0) * iqr / F.pow(F.col("n").cast("double"), F.lit(1.0) / F.lit(3.0))
+        freedman = F.lit(2.0) * iqr / F.pow(total, F.lit(1.0) / F.lit(3.0))
         width = F.when(freedman > 0, F.least(sturges, freedman)).otherwise(sturges)
         n_bins = F.coalesce(F.ceil(F.try_divide(span, width)), F.lit(1))
         sized = stats.join(quartiles, group).withColumn("n_bins", n_bins.cast("long"))
-    return sized.select(
-        group, "lo", "n_bins", F.greatest(span / F.col("n_bins"), F.lit(0.0)).alias("width")
-    )
+    return sized.select(group, "lo", "n_bins", (span / F.col("n_bins")).alias("width"))
 
 
 def histogram_by_class(
@@ -129,11 +148,9 @@ def histogram_by_class(
     Values are counted before they meet the bin table, so only distinct values
     are joined. The bin table has one row per class.
     """
-    x = F.col(column).cast("double")
-    counts = df.filter(x.isNotNull()).groupBy(group, x.alias("x"))
-    counts = counts.agg(F.count(F.lit(1)).alias("n"))
-    binned = counts.join(bin_widths(df, column, group, bins), group)
-    place = F.coalesce(F.floor(F.try_divide(F.col("x") - F.col("lo"), F.col("width"))), F.lit(0))
+    counts = value_frequencies(df, [column], group)
+    binned = counts.join(bin_widths(counts, group, bins), group)
+    place = F.coalesce(F.floor(F.try_divide(F.col("v") - F.col("lo"), F.col("width"))), F.lit(0))
     number = F.least(place, F.col("n_bins") - 1).cast("long")
     return binned.groupBy(group, number.alias("bin")).agg(F.sum("n").alias("n"))
 

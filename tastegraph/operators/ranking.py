@@ -18,6 +18,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 SAMPLED_KEYS = 20_000
+# Largest group that one task may order.
+WINDOW_ROWS = 1_000_000
 KEY = "__key"
 RANGE = "__range"
 
@@ -28,14 +30,11 @@ def _order_key(order_by: Sequence[Column]) -> Column:
 
 def range_boundaries(df: DataFrame, key: Column, ranges: int) -> list:
     """At most ``ranges - 1`` ascending cut points of ``key``, as driver rows."""
-    keys = df.select(key.alias(KEY))
-    total = keys.count()
-    if total == 0 or ranges < 2:
+    if ranges < 2:
         return []
-    fraction = min(1.0, SAMPLED_KEYS / total)
-    sample = keys if fraction == 1.0 else keys.sample(fraction, seed=7)
-    # Four times the expected sample size bounds what reaches the driver.
-    rows = sample.limit(4 * SAMPLED_KEYS).groupBy(KEY).count().orderBy(KEY).collect()
+    # The keys with the lowest hashes: one pass, and never more than the limit.
+    sample = df.select(key.alias(KEY)).orderBy(F.xxhash64(KEY, F.rand(7))).limit(SAMPLED_KEYS)
+    rows = sample.groupBy(KEY).count().orderBy(KEY).collect()
     step = sum(r["count"] for r in rows) / ranges
     cuts, seen, target = [], 0, step
     for row in rows:
@@ -124,10 +123,15 @@ def rank_within(
 ) -> DataFrame:
     """Row number 1.. inside each group; a group may be larger than one task.
 
-    A group is spread over the ranges it covers. The counts of its lower ranges
-    are summed per group (at most 256 rows each) and joined back on the same keys
-    the window needs.
+    While the largest group is small, this is a plain window. Otherwise a group is
+    spread over the ranges it covers; the counts of its lower ranges are summed per
+    group (at most 256 rows each) and joined back on the keys the window needs.
     """
+    if ranges is None:
+        sizes = df.groupBy(*partition_by).agg(F.count(F.lit(1)).alias("n"))
+        if (sizes.agg(F.max("n")).first()[0] or 0) <= WINDOW_ROWS:
+            window = Window.partitionBy(*partition_by).orderBy(*order_by)
+            return df.withColumn(name, F.row_number().over(window).cast("long"))
     groups = [F.col(c) for c in partition_by]
     cut = _with_ranges(df, [*groups, *order_by], ranges)
     counts = cut.groupBy(*partition_by, RANGE).agg(F.count(F.lit(1)).alias("__n"))
@@ -212,41 +216,42 @@ def sample_exact_n(df: DataFrame, key: Column, n: int, seed: int) -> DataFrame:
 
 
 def exact_quantiles(
-    df: DataFrame, group: str | None, value: str, probabilities: Sequence[float]
+    counts: DataFrame, group: Sequence[str], value: str, n: str, probabilities: Sequence[float]
 ) -> DataFrame:
     """Linearly interpolated quantiles per group, one column ``p<percent>`` each.
 
-    Values are counted first (map-side combine), so the ordered part works on
-    distinct values only and no group has to fit into one task.
+    ``counts`` holds one row per group and distinct value with its frequency, so the
+    ordered part never sees repeats and no group has to fit into one task.
     """
-    by = [F.col(group)] if group else [F.lit("all")]
-    counts = (
-        df.filter(F.col(value).isNotNull())
-        .groupBy(*[c.alias("g") for c in by], F.col(value).cast("double").alias("v"))
-        .agg(F.count(F.lit(1)).alias("n"))
+    order = [*[F.col(g) for g in group], F.col(value)]
+    ends = running_total(counts, order, F.col(n), "upto")
+    spans = ends.groupBy(*group).agg(
+        F.sum(n).alias("size"), F.min(F.col("upto") - F.col(n)).alias("start")
     )
-    ends = running_total(counts, [F.col("g"), F.col("v")], F.col("n"), "upto")
-    groups = counts.groupBy("g").agg(F.sum("n").alias("size"))
-    first = ends.groupBy("g").agg(F.min(F.col("upto") - F.col("n")).alias("start"))
-    placed = (
-        ends.join(groups, "g")
-        .join(first, "g")
-        .select(
-            "g", "v", "size",
-            (F.col("upto") - F.col("n") - F.col("start")).alias("low"),
-            (F.col("upto") - F.col("start") - 1).alias("high"),
+    placed = ends.join(spans, list(group)).select(
+        *group,
+        "size",
+        F.col(value).alias("v"),
+        (F.col("upto") - F.col(n) - F.col("start")).alias("low"),
+        (F.col("upto") - F.col("start") - 1).alias("high"),
+    )
+
+    def at(p: float) -> Column:
+        return (F.col("size") - 1) * F.lit(float(p))
+
+    def value_at(position: Column) -> Column:
+        hit = (position >= F.col("low")) & (position <= F.col("high"))
+        return F.max(F.when(hit, F.col("v")))
+
+    sides = []
+    for i, p in enumerate(probabilities):
+        sides.append(value_at(F.floor(at(p))).alias(f"f{i}"))
+        sides.append(value_at(F.ceil(at(p))).alias(f"c{i}"))
+    picked = placed.groupBy(*group, "size").agg(*sides)
+    columns = [
+        (F.col(f"f{i}") + (F.col(f"c{i}") - F.col(f"f{i}")) * (at(p) - F.floor(at(p)))).alias(
+            f"p{round(p * 100)}"
         )
-    )
-    wanted = []
-    for p in probabilities:
-        at = (F.col("size") - 1) * F.lit(float(p))
-        for side, position in (("f", F.floor(at)), ("c", F.ceil(at))):
-            hit = (position >= F.col("low")) & (position <= F.col("high"))
-            wanted.append(F.max(F.when(hit, F.col("v"))).alias(f"{side}{p}"))
-    picked = placed.groupBy("g", "size").agg(*wanted)
-    columns = []
-    for p in probabilities:
-        at = (F.col("size") - 1) * F.lit(float(p))
-        low, high = F.col(f"`f{p}`"), F.col(f"`c{p}`")
-        columns.append((low + (high - low) * (at - F.floor(at))).alias(f"p{round(p * 100)}"))
-    return picked.select(F.col("g").alias(group or "g"), *columns)
+        for i, p in enumerate(probabilities)
+    ]
+    return picked.select(*group, *columns)

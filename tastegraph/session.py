@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import shutil
 import tempfile
 import uuid
+from pathlib import Path
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def start_session(app_name: str, **conf: str) -> SparkSession:
@@ -38,3 +40,25 @@ def shared_folder(spark: SparkSession) -> str:
 def fresh_path(spark: SparkSession, name: str) -> str:
     """A path below the shared folder that no other run uses."""
     return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def stage(df: DataFrame, name: str) -> DataFrame:
+    """Write a table that later steps read more than once, and read it back.
+
+    This cuts the lineage: a lost executor costs no recomputation of what is stored.
+    """
+    path = fresh_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors, for clusters that do not have it installed."""
+    context = spark.sparkContext
+    if getattr(context, "_tastegraph_shipped", False):
+        return
+    package = Path(__file__).resolve().parent
+    target = Path(tempfile.mkdtemp(prefix="tastegraph-code-")) / package.name
+    archive = shutil.make_archive(str(target), "zip", package.parent, package.name)
+    context.addPyFile(archive)
+    context._tastegraph_shipped = True
