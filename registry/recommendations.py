@@ -45,7 +45,7 @@ def user_category_profile(spark, sf):
 
 
 def user_features(spark, sf):
-    return rounded(_shares(spark, sf), "weight")
+    return rounded(_shares(spark, sf), "weight", digits=12)
 
 
 def interactions(spark, sf):
@@ -149,7 +149,7 @@ QUERIES = {
     "user_category_profile": (user_category_profile, with_inputs("SELECT * FROM profile")),
     "user_features": (
         user_features,
-        with_inputs("SELECT user_id, category, ROUND(weight, 6) AS weight FROM shares"),
+        with_inputs("SELECT user_id, category, ROUND(weight, 12) AS weight FROM shares"),
     ),
     "interactions": (
         interactions,

@@ -84,14 +84,15 @@ def fit_modified_huber(
     weights = np.zeros(size + 1)
     try:
         for number in range(rounds):
-            train_block = _block_trainer(weights, label, local, number * local, alpha, eta0, batch)
+            train_block = _block_trainer(weights.copy(), label, local, number * local, alpha, eta0, batch)
             fitted = kept.groupBy("block").applyInArrow(train_block, "n bigint, w array<double>")
             mean = (
                 fitted.select("n", F.posexplode("w").alias("i", "w"))
                 .groupBy("i")
                 .agg((F.sum(F.col("n") * F.col("w")) / F.sum("n")).alias("w"))
             )
-            weights = np.array([r["w"] for r in mean.orderBy("i").collect()])
+            for row in mean.collect():
+                weights[row["i"]] = row["w"]
     finally:
         kept.unpersist()
     return TermClassifier(name, float(weights[-1]), tuple(weights[:-1].tolist()), link="huber")

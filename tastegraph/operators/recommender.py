@@ -232,7 +232,7 @@ def top_content_items(
     spread_items = items.withColumns(
         {
             "block": F.pmod(F.xxhash64("game_id"), F.lit(blocks)).cast("int"),
-            "chunk": F.explode(F.sequence(F.lit(0), F.lit(chunks - 1))).cast("long"),
+            "chunk": F.explode(F.sequence(F.lit(0).cast("long"), F.lit(chunks - 1).cast("long"))),
         }
     )
 
@@ -272,7 +272,7 @@ def recommend(
     owned = (
         playtimes.select("user_id", "game_id")
         .join(rankable.select("game_id", F.lit(True).alias("rankable")), "game_id", "left")
-        .select("user_id", F.when("rankable", F.col("game_id")).alias("game_id"))
+        .select("user_id", F.when(F.col("rankable"), F.col("game_id")).alias("game_id"))
     )
     users = user_rows(shares, owned)
     best = top_content_items(users, rankable, k, broadcast_rows)
