@@ -10,9 +10,7 @@ def quoted(text: str) -> str:
 
 
 def tokens(text: str) -> str:
-    spaced = text
-    for pattern in (K.NEGATION_PATTERN, K.CLITIC_PATTERN):
-        spaced = f"regexp_replace({spaced}, {quoted(pattern)}, '\\1 \\2 \\3', 'g')"
+    spaced = f"regexp_replace({text}, {quoted(K.CLITIC_PATTERN)}, '\\1 \\2 \\3', 'g')"
     marked = f"regexp_replace({spaced}, {quoted(K.OPEN_QUOTE_PATTERN)}, '\\1 `` ', 'g')"
     marked = f"replace({marked}, '\"', ' '''' ')"
     return f"regexp_extract_all({marked}, {quoted(K.TOKEN_PATTERN)})"

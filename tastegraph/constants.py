@@ -24,16 +24,15 @@ PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 # on accented characters (\w does not).
 WORD_CHAR = r"[\p{L}\p{N}_]"
 
-# Word tokens. An ellipsis, a double dash and the two quote marks are tokens; a
-# word may hold inner hyphens, apostrophes, dots and slashes, and a comma or
-# colon in front of a digit; any other visible character stands alone.
+# Word tokens. A word may hold inner hyphens, apostrophes, dots and slashes, and a
+# comma or colon in front of a digit; an ellipsis, a double dash and the two quote
+# marks are tokens; any other visible character stands alone.
 TOKEN_PATTERN = (
-    r"\.\.\.|--|``|''|'?[\p{L}\p{N}_]+(?:[-'./][\p{L}\p{N}_]+|[,:]\p{N}[\p{L}\p{N}_]*)*"
-    r"|[^\s\p{Z}\p{L}\p{N}_]"
+    r"'?[\p{L}\p{N}_]+(?:[-'./][\p{L}\p{N}_]+|[,:]\p{N}[\p{L}\p{N}_]*)*"
+    r"|\.\.\.|--|``|''|[^\s\p{Z}\p{L}\p{N}_]"
 )
 # Rewrites that come before it: clitics leave their word, quotes become marks.
-NEGATION_PATTERN = r"(\p{L})(n't)([^\p{L}\p{N}_']|$)"
-CLITIC_PATTERN = r"([\p{L}\p{N}_])('(?:s|m|d|re|ve|ll))([^\p{L}\p{N}_']|$)"
+CLITIC_PATTERN = r"(?i)([\p{L}\p{N}_])(n't|'(?:s|m|d|re|ve|ll))([^\p{L}\p{N}_']|$)"
 OPEN_QUOTE_PATTERN = r"(^|[\s\p{Z}(\[{<])\""
 
 SENTENCE_PATTERN = r"[^.!?]+[.!?]*"

@@ -14,11 +14,15 @@ def lower(text: Column) -> Column:
 
 
 def tokenize_words(text: Column) -> Column:
-    """Word tokens in order; clitics and quote marks are tokens of their own."""
-    spaced = F.regexp_replace(text, K.NEGATION_PATTERN, "$1 $2 $3")
-    spaced = F.regexp_replace(spaced, K.CLITIC_PATTERN, "$1 $2 $3")
-    quoted = F.regexp_replace(spaced, K.OPEN_QUOTE_PATTERN, "$1 `` ")
-    quoted = F.regexp_replace(quoted, '"', " '' ")
+    """Word tokens in order; clitics and quote marks are tokens of their own.
+
+    The rewrites only run on texts that hold the character they are about.
+    """
+    apart = F.regexp_replace(text, K.CLITIC_PATTERN, "$1 $2 $3")
+    spaced = F.when(F.contains(text, F.lit("'")), apart).otherwise(text)
+    opened = F.regexp_replace(spaced, K.OPEN_QUOTE_PATTERN, "$1 `` ")
+    closed = F.replace(opened, F.lit('"'), F.lit(" '' "))
+    quoted = F.when(F.contains(text, F.lit('"')), closed).otherwise(spaced)
     return F.regexp_extract_all(quoted, F.lit(K.TOKEN_PATTERN), 0)
 
 
@@ -36,19 +40,22 @@ def join_tokens(tokens: Column) -> Column:
     return F.array_join(tokens, " ")
 
 
-def content_tokens(text: Column) -> Column:
-    """Lowercase, tokenize, drop stop words and punctuation in one filter pass."""
+def content_tokens(tokens: Column) -> Column:
+    """Drop stop words and punctuation from lowercase tokens in one filter pass."""
     words = list(K.STOP_WORDS)
     return F.filter(
-        tokenize_words(F.lower(text)),
-        lambda t: ~t.isin(words) & (F.position(t, F.lit(K.PUNCTUATION)) == 0),
+        tokens, lambda t: ~t.isin(words) & (F.position(t, F.lit(K.PUNCTUATION)) == 0)
     )
 
 
+def convert_tokens(tokens: Column, stem: bool = True) -> Column:
+    joined = join_tokens(content_tokens(tokens))
+    return stem_text(joined) if stem else joined
+
+
 def convert_text(text: Column, stem: bool = True) -> Column:
     """Review text to the space-joined terms the classifiers read."""
-    joined = join_tokens(content_tokens(text))
-    return stem_text(joined) if stem else joined
+    return convert_tokens(tokenize_words(F.lower(text)), stem)
 
 
 def char_num(text: Column) -> Column:

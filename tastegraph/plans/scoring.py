@@ -33,15 +33,17 @@ def convert_reviews(reviews: DataFrame, stem: bool = True) -> DataFrame:
 
     The result is read by several passes; store it with ``materialize_if_absent``.
     """
-    text = F.col("review_text")
-    return distinct_reviews(reviews).withColumns(
+    text, tokens = F.col("review_text"), F.col("tokens")
+    # Tokens are counted and converted from one tokenisation (case does not matter to it).
+    tokenized = distinct_reviews(reviews).withColumn("tokens", X.tokenize_words(F.lower(text)))
+    return tokenized.withColumns(
         {
             "char_num": X.char_num(text),
-            "word_num": X.word_num(text),
+            "word_num": F.size(tokens),
             "sent_num": X.sent_num(text),
-            "converted_text": X.convert_text(text, stem),
+            "converted_text": X.convert_tokens(tokens, stem),
         }
-    )
+    ).drop("tokens")
 
 
 def fit_classifiers(
