@@ -49,11 +49,9 @@ TAG_CELLS = " UNION ALL ".join(
     )
 )
 
-# Cells of a wide table: a column per brand, its part names as ragged rows.
+# Cells of a wide table: a column per brand, a ragged row per part.
 WIDE_CELLS = """
-SELECT CAST(split_part(p_brand, '#', 2) AS BIGINT) AS app_id,
-       CAST(row_number() OVER (PARTITION BY p_brand ORDER BY p_partkey) AS BIGINT) - 1 AS pos,
-       p_name AS category
+SELECT CAST(split_part(p_brand, '#', 2) AS BIGINT) AS app_id, p_partkey AS pos, p_name AS category
 FROM part
 """
 BRANDS = list(range(1, 26))

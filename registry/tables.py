@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from registry.inputs import BRANDS, given, rounded, table, tag_lists, with_inputs
 from tastegraph import schemas
-from tastegraph.operators import cleaning, joins, nested, profiling, ranking, scoring
+from tastegraph.operators import cleaning, nested, profiling, ranking, scoring
 from tastegraph.session import fresh_path
 from tastegraph.sources import batch, topics
 
@@ -56,8 +56,7 @@ def unpivot_tags(spark, sf):
 
 
 def transpose_tags_nested(spark, sf):
-    wide = _wide(spark, sf).withColumn("pos", F.col("pos").cast("long"))
-    lists = nested.transpose_tags_nested(nested.unpivot_cells(wide))
+    lists = nested.transpose_tags_nested(table(spark, sf, "tag_cells"))
     joined = F.array_join("categories", "|").alias("categories")
     return lists.select("app_id", F.size("categories").cast("long").alias("n"), joined)
 
@@ -123,7 +122,6 @@ def sink_json_topic(spark, sf):
     return messages.select(F.from_json("value", rows.schema).alias("json")).select("json.*")
 
 
-REVIEWS_SQL = with_inputs("SELECT * FROM reviews")
 FOUR_SQL = ", ".join(FOUR)
 
 
@@ -298,9 +296,9 @@ QUERIES = {
     "transpose_tags_nested": (
         transpose_tags_nested,
         with_inputs(
-            "SELECT CAST(app_id AS VARCHAR) AS app_id, COUNT(*) AS n, "
-            "string_agg(category, '|' ORDER BY pos) AS categories FROM wide_cells GROUP BY app_id "
-            "UNION ALL SELECT '0', 0, ''"
+            "SELECT app_id, COUNT(category) AS n, "
+            "COALESCE(string_agg(category, '|' ORDER BY pos), '') AS categories "
+            "FROM tag_cells GROUP BY app_id"
         ),
     ),
     "collect_tags": (

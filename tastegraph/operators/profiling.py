@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import time
+from collections.abc import Callable, Sequence
 from itertools import combinations
 
 from pyspark.sql import DataFrame, Observation
@@ -181,15 +182,16 @@ def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return wide.select(F.inline(F.array(*cells)))
 
 
-def throughput(df: DataFrame, name: str = "throughput") -> tuple[DataFrame, Observation]:
-    """Observe row count and first/last processing time while ``df`` is computed.
+def throughput(
+    df: DataFrame, action: Callable[[DataFrame], None], name: str = "throughput"
+) -> dict[str, float]:
+    """Run an action on ``df`` and report rows, seconds and rows per second.
 
-    The rate belongs to whatever action runs ``df``; no extra pass is made.
+    Rows are counted while the action runs, not in a pass of their own.
     """
     seen = Observation(name)
-    now = F.unix_micros(F.current_timestamp())
-    return df.observe(seen, F.count(F.lit(1)).alias("rows"), F.min(now).alias("started")), seen
-
-
-def rows_per_second(rows: int, seconds: float) -> float:
-    return rows / seconds if seconds > 0 else float("inf")
+    started = time.perf_counter()
+    action(df.observe(seen, F.count(F.lit(1)).alias("rows")))
+    seconds = time.perf_counter() - started
+    rows = seen.get["rows"]
+    return {"rows": rows, "seconds": seconds, "rows_per_second": rows / seconds}

@@ -13,7 +13,7 @@ from tastegraph.operators.nested import collect_tags
 from tastegraph.operators.recommender import recommend
 from tastegraph.operators.scoring import game_features
 from tastegraph.plans.scoring import convert_reviews, fit_scorer, score_games
-from tastegraph.sources.batch import materialize_if_absent
+from tastegraph.sources.batch import materialize_if_absent, path_exists
 from tastegraph.streaming import ingest
 
 
@@ -38,7 +38,12 @@ def drain_topics(
     tables = {}
     for name, rows in flows.items():
         ingest.drain(rows, f"{root}/{name}", f"{root}/checkpoints/{name}")
-        tables[name] = spark.read.parquet(f"{root}/{name}")
+        # A topic without messages has left no files to take a schema from.
+        stored = path_exists(spark, f"{root}/{name}/_spark_metadata")
+        reader = spark.read.schema(rows.schema)
+        tables[name] = (
+            reader.parquet(f"{root}/{name}") if stored else spark.createDataFrame([], rows.schema)
+        )
     if not ingest.await_nonempty_inputs(list(tables.values())):
         return None
     return LiveTables(
