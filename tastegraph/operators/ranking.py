@@ -15,9 +15,12 @@ from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 from pyspark.sql.window import Window
 
-SAMPLED_KEYS = 20_000
+KEYS_PER_RANGE, LEAST_SAMPLED, MOST_SAMPLED = 20, 2_000, 50_000
+# Bounds the literal boundaries and every per-range table below.
+MAX_RANGES = 4096
 # Largest group that one task may order.
 WINDOW_ROWS = 1_000_000
 KEY = "__key"
@@ -33,7 +36,8 @@ def range_boundaries(df: DataFrame, key: Column, ranges: int) -> list:
     if ranges < 2:
         return []
     # The keys with the lowest hashes: one pass, and never more than the limit.
-    sample = df.select(key.alias(KEY)).orderBy(F.xxhash64(KEY, F.rand(7))).limit(SAMPLED_KEYS)
+    size = min(MOST_SAMPLED, max(LEAST_SAMPLED, KEYS_PER_RANGE * ranges))
+    sample = df.select(key.alias(KEY)).orderBy(F.xxhash64(KEY, F.rand(7))).limit(size)
     rows = sample.groupBy(KEY).count().orderBy(KEY).collect()
     step = sum(r["count"] for r in rows) / ranges
     cuts, seen, target = [], 0, step
@@ -45,34 +49,36 @@ def range_boundaries(df: DataFrame, key: Column, ranges: int) -> list:
     return cuts
 
 
-def _literal(value, data_type) -> Column:
-    if hasattr(data_type, "fields"):
-        return F.struct(
-            *[_literal(value[f.name], f.dataType).alias(f.name) for f in data_type.fields]
-        )
-    return F.lit(value).cast(data_type)
+def _literal(value, data_type) -> str:
+    """A constant as SQL text; one parsed text is much faster to build than columns."""
+    if value is None:
+        return f"CAST(NULL AS {data_type.simpleString()})"
+    if isinstance(data_type, StructType):
+        fields = [
+            f"'{f.name}', {_literal(value[f.name], f.dataType)}" for f in data_type.fields
+        ]
+        return f"named_struct({', '.join(fields)})"
+    text = str(value).replace("\\", "\\\\").replace("'", "\\'")
+    return f"CAST('{text}' AS {data_type.simpleString()})"
 
 
 def range_number(key: Column, cuts: list, data_type) -> Column:
-    """Number of cut points at or below ``key``, found by a balanced CASE tree."""
-    points = [_literal(c, data_type) for c in cuts]
-
-    def search(low: int, high: int) -> Column:
-        if low == high:
-            return F.lit(low)
-        middle = (low + high) // 2
-        return F.when(key < points[middle], search(low, middle)).otherwise(
-            search(middle + 1, high)
-        )
-
-    return search(0, len(points))
+    """Number of cut points at or below ``key``, by binary search in a literal array."""
+    if not cuts:
+        return F.lit(0)
+    points = F.expr(f"array({', '.join(_literal(c, data_type) for c in cuts)})")
+    steps = [1 << i for i in reversed(range(len(cuts).bit_length()))]
+    return F.aggregate(
+        F.array(*[F.lit(step) for step in steps]),
+        F.lit(0),
+        lambda at, step: F.when(F.get(points, at + step - 1) <= key, at + step).otherwise(at),
+    )
 
 
 def _with_ranges(df: DataFrame, order_by: Sequence[Column], ranges: int | None) -> DataFrame:
     wanted = ranges or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     keyed = df.withColumn(KEY, _order_key(order_by))
-    # The CASE tree is part of the generated code, so its size is kept moderate.
-    cuts = range_boundaries(keyed, F.col(KEY), min(wanted, 256))
+    cuts = range_boundaries(keyed, F.col(KEY), min(wanted, MAX_RANGES))
     data_type = keyed.schema[KEY].dataType
     return keyed.withColumn(RANGE, range_number(F.col(KEY), cuts, data_type))
 
@@ -87,7 +93,7 @@ def running_total(
     """Add the running sum of ``amount`` in a total order over the whole table."""
     cut = _with_ranges(df, order_by, ranges).withColumn("__amount", amount)
     totals = cut.groupBy(RANGE).agg(F.sum("__amount").alias("__total"))
-    # One row per range (at most 256), so this window and broadcast stay tiny.
+    # One row per range (at most MAX_RANGES), so this window and broadcast stay tiny.
     before = totals.select(
         RANGE,
         F.coalesce(
@@ -125,7 +131,7 @@ def rank_within(
 
     While the largest group is small, this is a plain window. Otherwise a group is
     spread over the ranges it covers; the counts of its lower ranges are summed per
-    group (at most 256 rows each) and joined back on the keys the window needs.
+    group (at most MAX_RANGES rows each) and joined back on the keys the window needs.
     """
     if ranges is None:
         sizes = df.groupBy(*partition_by).agg(F.count(F.lit(1)).alias("n"))
@@ -206,7 +212,7 @@ def first_rows(df: DataFrame, order_by: Sequence[Column], n: int, direct: int =
     last = keys.orderBy(KEY).limit(remaining).agg(F.max(KEY).alias(KEY)).first()[KEY]
     if last is None:
         return df
-    return keyed.filter(F.col(KEY) <= _literal(last, data_type)).drop(KEY)
+    return keyed.filter(F.col(KEY) <= F.expr(_literal(last, data_type))).drop(KEY)
 
 
 def sample_exact_n(df: DataFrame, key: Column, n: int, seed: int) -> DataFrame:
