@@ -7,7 +7,7 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 GIVEN = (
@@ -174,6 +174,15 @@ def tag_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lists.withColumnRenamed("app_id", "game_id")
 
 
+# A user's library comes in up to so many messages, so that no message grows with a
+# heavy user alone. Entries of one game stay together.
+LIBRARY_PARTS = 16
+
+
+def library_part(game: str) -> Column:
+    return F.pmod(F.xxhash64(F.col(game)), F.lit(LIBRARY_PARTS)).alias("part")
+
+
 def rounded(df: DataFrame, *columns: str, digits: int = 6) -> DataFrame:
     return df.withColumns({c: F.round(c, digits) for c in columns})
 

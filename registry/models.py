@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from registry import sqltext as Q
 from registry.inputs import rounded, table, tag_lists, with_inputs
@@ -13,7 +14,6 @@ from tastegraph.operators import (
     cleaning,
     evaluation,
     features,
-    ranking,
     scoring,
     trees,
 )
@@ -155,10 +155,11 @@ def model_comparison(spark, sf):
 
 
 def sort_models(spark, sf):
+    """Position of every model by F1; the window sees one row per model."""
     metrics = evaluation.classification_metrics(_evaluated(spark, sf, BAYES), by="model")
-    return ranking.assign_row_id(
-        evaluation.sort_models(metrics), [-F.col("f1"), F.col("model")], "position"
-    ).select("model", "position")
+    by_f1 = Window.partitionBy().orderBy(F.desc("f1"), "model")
+    position = (F.row_number().over(by_f1) - 1).cast("long").alias("position")
+    return evaluation.sort_models(metrics).select("model", position)
 
 
 def labelled_benchmark(spark, sf):

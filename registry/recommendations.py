@@ -56,13 +56,14 @@ def content_scores(spark, sf):
     """Scores of every observed (user, game) pair."""
     games = _games(spark, sf)
     pairs = recommender.interactions(table(spark, sf, "playtimes"), games)
-    return rounded(recommender.content_scores(pairs, _shares(spark, sf), games), "predicted_score")
+    scores = recommender.content_scores(pairs, _shares(spark, sf), games)
+    return rounded(scores, "predicted_score", digits=recommender.DECIMALS)
 
 
 def predict_scores(spark, sf):
     """Scores of every game for one user."""
     scores = recommender.predict_for_user(FIRST_USER, _shares(spark, sf), _games(spark, sf))
-    return rounded(scores, "predicted_score")
+    return rounded(scores, "predicted_score", digits=recommender.DECIMALS)
 
 
 def recommend(spark, sf):
@@ -71,7 +72,7 @@ def recommend(spark, sf):
         tag_lists(spark, sf), table(spark, sf, "playtimes"), games,
         table(spark, sf, "reviews"), K.TOP_N, THRESHOLD,
     )
-    return rounded(best, "predicted_score", "normalized_score")
+    return rounded(best, "normalized_score")
 
 
 def recommend_blocked(spark, sf):
@@ -81,7 +82,7 @@ def recommend_blocked(spark, sf):
         tag_lists(spark, sf), table(spark, sf, "playtimes"), games,
         table(spark, sf, "reviews"), K.TOP_N, THRESHOLD, broadcast_rows=0,
     )
-    return rounded(best, "predicted_score", "normalized_score")
+    return rounded(best, "normalized_score")
 
 
 def train_als(spark, sf):
@@ -100,7 +101,7 @@ def train_hybrid(spark, sf):
 
 
 PAIR_SCORE = """
-SELECT i.user_id, i.game_id, ROUND(COALESCE(SUM(s.weight * w.w), 0e0), 6) AS predicted_score
+SELECT i.user_id, i.game_id, ROUND(COALESCE(SUM(s.weight * w.w), 0e0), 12) AS predicted_score
 FROM {pairs} i LEFT JOIN tag_weights w ON i.game_id = w.game_id
 LEFT JOIN shares s ON s.user_id = i.user_id AND s.category = w.category
 GROUP BY i.user_id, i.game_id

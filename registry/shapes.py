@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from registry.inputs import given, rounded, table, tag_lists, with_inputs
+from registry.inputs import given, library_part, rounded, table, tag_lists, with_inputs
 from tastegraph.operators import graph, joins, nested, ranking, scoring
 
 
@@ -32,6 +32,7 @@ def _documents(spark, sf):
     """Owned-games documents in arrival order."""
     rows = table(spark, sf, "library").select(
         "user_id",
+        library_part("app_id"),
         F.struct(
             "place",
             F.col("app_id").cast("string").alias("appid"),
@@ -39,7 +40,7 @@ def _documents(spark, sf):
             "playtime_windows_forever",
         ).alias("g"),
     )
-    lists = rows.groupBy("user_id").agg(F.array_sort(F.collect_list("g")).alias("games"))
+    lists = rows.groupBy("user_id", "part").agg(F.array_sort(F.collect_list("g")).alias("games"))
     missing = F.lit(None).cast("double")
     game = lambda g: F.struct(
         g["appid"].alias("appid"),

@@ -29,7 +29,8 @@ from tastegraph.operators.ranking import assign_row_id, rank_reset, top_k_per_gr
 BROADCAST_ROWS = 1_000_000
 GAMES_PER_BLOCK = 50_000
 USERS_PER_CHUNK = 50_000
-DECIMALS = 6
+# Scores that differ by rounding noise only are ties.
+DECIMALS = 12
 
 
 def index_entities(df: DataFrame, key: str) -> DataFrame:

@@ -32,9 +32,10 @@ def shared_folder(spark: SparkSession) -> str:
         return named
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    folder = tempfile.mkdtemp(prefix="tastegraph-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    context = spark.sparkContext
+    if not hasattr(context, "_tastegraph_folder"):
+        context._tastegraph_folder = tempfile.mkdtemp(prefix="tastegraph-")
+    return context._tastegraph_folder
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:

@@ -47,7 +47,7 @@ def brute_force(store, k, threshold):
         for g in games.collect():
             if g.normalized_score > threshold and g.game_id not in owned:
                 raw = sum(profile.get(t, 0.0) for t in g.categories) / (total or 1)
-                scores.append((-round(raw / (1 + len(g.categories)), 6), g.game_id))
+                scores.append((-round(raw / (1 + len(g.categories)), 12), g.game_id))
         for position, (score, game) in enumerate(sorted(scores)[:k]):
             expected[user, position] = (game, -score)
     return expected
