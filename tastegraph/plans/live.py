@@ -33,7 +33,7 @@ def drain_topics(
     flows = {
         "reviews": ingest.stream_reviews(reviews),
         "tags": ingest.stream_game_tags(tags, ["offset"]),
-        "playtimes": ingest.stream_user_games(users, ["offset"]),
+        "playtimes": ingest.stream_user_games(users, ["offset"], position=True),
     }
     tables = {}
     for name, rows in flows.items():
@@ -74,7 +74,8 @@ def live_playtimes(rows: DataFrame) -> DataFrame:
     """Latest playtime per user and game."""
     ids = cast_key(cast_key(rows, "app_id"), "user_id").na.drop("any", subset=["app_id", "user_id"])
     latest = ids.groupBy("user_id", F.col("app_id").alias("game_id"))
-    return latest.agg(F.max_by("playtime_forever", "offset").alias("playtime_forever"))
+    newest = F.struct("offset", "pos")
+    return latest.agg(F.max_by("playtime_forever", newest).alias("playtime_forever"))
 
 
 def stream_to_recommendations(
