@@ -154,29 +154,37 @@ class ItemBlock:
         return self.game_ids[best], scores[best]
 
     def rank_users(self, users: pa.Table, k: int) -> pa.Table:
-        ids, games, scores = [], [], []
-        for row in users.to_pylist():
-            codes = pc.index_in(pa.array(row["categories"], pa.string()), self.categories)
-            known = codes.is_valid().to_numpy(zero_copy_only=False)
-            found, score = self.top(
-                codes.drop_null().to_numpy(),
-                np.asarray(row["shares"], "float64")[known],
-                np.asarray(row["owned"], "int64"),
-                k,
-            )
-            ids.append(np.full(len(found), row["user_id"], "int64"))
+        """Best games of every user of a batch of ``user_rows``."""
+        tags, tag_ends = _flat(users["categories"])
+        shares, _ = _flat(users["shares"])
+        owned, owned_ends = _flat(users["owned"])
+        codes = pc.fill_null(pc.index_in(tags, value_set=self.categories), -1).to_numpy()
+        shares, owned = shares.to_numpy(), owned.to_numpy()
+        games, scores = [np.empty(0, "int64")], [np.empty(0)]
+        for i in range(users.num_rows):
+            mine = slice(tag_ends[i], tag_ends[i + 1])
+            known = codes[mine] >= 0
+            library = owned[owned_ends[i] : owned_ends[i + 1]]
+            found, score = self.top(codes[mine][known], shares[mine][known], library, k)
             games.append(found)
             scores.append(score)
-        empty = [np.empty(0)]
+        counts = [len(g) for g in games[1:]]
         return pa.table(
             {
-                "user_id": pa.array(np.concatenate(ids or empty).astype("int64")),
-                "game_id": pa.array(np.concatenate(games or empty).astype("int64")),
-                "predicted_score": pa.array(np.concatenate(scores or empty).astype("float64")),
+                "user_id": pa.array(np.repeat(users["user_id"].to_numpy(), counts)),
+                "game_id": pa.array(np.concatenate(games)),
+                "predicted_score": pa.array(np.concatenate(scores)),
             }
         )
 
 
+def _flat(lists: pa.ChunkedArray) -> tuple[pa.Array, np.ndarray]:
+    """All items of a list column and the offsets of its rows."""
+    whole = lists.combine_chunks()
+    sizes = pc.list_value_length(whole).to_numpy(zero_copy_only=False)
+    return whole.flatten(), np.concatenate([[0], np.cumsum(sizes)]).astype("int64")
+
+
 RANKED = "user_id bigint, game_id bigint, predicted_score double"
 
 
