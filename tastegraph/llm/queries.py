@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tastegraph.llm import ngram_join
-from tastegraph.llm.common import read_table
+from tastegraph.llm import mixing, ngram_join, quality_sampling, token_files
+from tastegraph.llm.common import fresh_path, read_table
 
 
 def op2_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -13,8 +14,34 @@ def op2_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linked.select("doc_id", "n_shingles", "component_id", "links")
 
 
+def vocabulary(name: str) -> str:
+    """Place of a public tokenizer's file."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op7_repair_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = fresh_path(spark, "token-files")
+    token_files.write_files(read_table(spark, sf_dir, "documents"), path, vocabulary("word_bpe_49k.json"))
+    return token_files.read_files(spark, path)
+
+
+def op9_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    chosen = quality_sampling.resample(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+    return chosen.select("doc_id", "n_words", F.round("log_weight", 4).alias("log_weight"), "kept")
+
+
+def op10_pivotal_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix(read_table(spark, sf_dir, "documents"))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken", "source", "copies")
+
+
 QUERIES = {
     "op2_ngram_jaccard_join": op2_ngram_jaccard_join,
+    "op7_repair_token_files": op7_repair_token_files,
+    "op9_importance_resampling": op9_importance_resampling,
+    "op10_pivotal_mixing": op10_pivotal_mixing,
 }
 
 SQL: dict[str, str] = {}
