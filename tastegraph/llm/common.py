@@ -63,27 +63,32 @@ def components(links: DataFrame) -> DataFrame:
     )
 
 
-def id_filter(rows: DataFrame, column: str, bits: int = 23) -> np.ndarray:
-    """A bitmap of 2**bits places (1 MB at 23, whatever the data) for ``may_hold``.
+FILTER_BITS = 23
 
-    Its words are put together by a bit_or per word, so the driver gets 2**(bits - 6) rows
-    at most. A full bitmap prunes less; what it lets through is joined exactly afterwards.
+
+def filter_place(column: str) -> Column:
+    """Place of an id in an ``id_filter``."""
+    return F.shiftrightunsigned(F.xxhash64(F.col(column).cast("long")), 64 - FILTER_BITS)
+
+
+def id_filter(rows: DataFrame, place: Column) -> np.ndarray:
+    """A bitmap of 2**FILTER_BITS places (1 MB, whatever the data) for ``may_hold``.
+
+    Its words are put together by a bit_or per word, so the driver gets 2**17 rows at most.
+    A full bitmap prunes less; what it lets through is joined exactly afterwards.
     """
     found = (
-        rows.select(filter_place(column, bits).alias("p"))
+        rows.select(place.alias("p"))
         .groupBy(F.expr("int(shiftright(p, 6))").alias("word"))
         .agg(F.expr("bit_or(shiftleft(1L, int(p & 63)))").alias("bits"))
         .toArrow()
     )
-    out = np.zeros(1 << (bits - 6), np.int64)
+    out = np.zeros(1 << (FILTER_BITS - 6), np.int64)
     out[found["word"].to_numpy()] = found["bits"].to_numpy()
     return out
 
 
-def filter_place(column: str, bits: int = 23) -> Column:
-    return F.shiftrightunsigned(F.xxhash64(F.col(column).cast("long")), 64 - bits)
-
-
 def may_hold(bitmap: np.ndarray, places: np.ndarray) -> np.ndarray:
-    """Which of the places (top bits of the hashes) are set."""
+    """Which of the places are set."""
+    places = places.astype(np.int64)
     return ((bitmap[places >> 6] >> (places & 63)) & 1).astype(bool)

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tastegraph.llm import mixing, ngram_join, quality_sampling, token_files
-from tastegraph.llm.common import fresh_path, read_table
+from tastegraph.llm import decontaminate, mixing, ngram_join, quality_sampling, token_files
+from tastegraph.llm.common import WORD, fresh_path, read_table
 
 
 def op2_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -14,6 +14,11 @@ def op2_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linked.select("doc_id", "n_shingles", "component_id", "links")
 
 
+def op4_minhash_containment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.find_items(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "item_id", "n_item", "n_shared")
+
+
 def vocabulary(name: str) -> str:
     """Place of a public tokenizer's file."""
     import public_tokenizers
@@ -39,9 +44,38 @@ def op10_pivotal_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op2_ngram_jaccard_join": op2_ngram_jaccard_join,
+    "op4_minhash_containment": op4_minhash_containment,
     "op7_repair_token_files": op7_repair_token_files,
     "op9_importance_resampling": op9_importance_resampling,
     "op10_pivotal_mixing": op10_pivotal_mixing,
 }
 
-SQL: dict[str, str] = {}
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_LOWER_WORDS = rf"regexp_extract_all({_LOWER}, '{WORD}')"
+
+SQL: dict[str, str] = {
+    # Every shingle of the documents against every shingle of the items.
+    "op4_minhash_containment": rf"""
+WITH item_words AS (SELECT item_id, {_LOWER_WORDS} AS w FROM benchmark),
+item_grams AS (
+    SELECT item_id, least(5, len(w)) AS width,
+           unnest(list_distinct(list_transform(range(1, len(w) - least(5, len(w)) + 2),
+                  lambda i: array_to_string(list_slice(w, i, i + least(5, len(w)) - 1), ' ')))) AS gram
+    FROM item_words WHERE len(w) > 0
+),
+sizes AS (SELECT item_id, count(*) AS n_item FROM item_grams GROUP BY item_id),
+doc_words AS (SELECT doc_id, {_LOWER_WORDS} AS w FROM documents),
+doc_grams AS (
+    SELECT doc_id, width,
+           unnest(list_distinct(list_transform(range(1, len(w) - width + 2),
+                  lambda i: array_to_string(list_slice(w, i, i + width - 1), ' ')))) AS gram
+    FROM doc_words, (SELECT DISTINCT width FROM item_grams)
+),
+shared AS (
+    SELECT d.doc_id, i.item_id, count(*) AS n_shared
+    FROM doc_grams d JOIN item_grams i ON d.gram = i.gram AND d.width = i.width GROUP BY d.doc_id, i.item_id
+)
+SELECT doc_id, s.item_id, n_item, n_shared FROM shared s JOIN sizes z ON s.item_id = z.item_id
+WHERE 100 * n_shared >= 75 * n_item
+""",
+}
