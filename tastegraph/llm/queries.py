@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tastegraph.llm import decontaminate, mixing, ngram_join, quality_sampling, token_files
+from tastegraph.llm import decontaminate, mixing, ngram_join, quality_sampling, substring, token_files
 from tastegraph.llm.common import WORD, fresh_path, read_table
 
 
@@ -26,6 +26,11 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op6_rabin_karp_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = substring.cut(read_table(spark, sf_dir, "documents"))
+    return cut.select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
 def op7_repair_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = fresh_path(spark, "token-files")
     token_files.write_files(read_table(spark, sf_dir, "documents"), path, vocabulary("word_bpe_49k.json"))
@@ -45,6 +50,7 @@ def op10_pivotal_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op2_ngram_jaccard_join": op2_ngram_jaccard_join,
     "op4_minhash_containment": op4_minhash_containment,
+    "op6_rabin_karp_windows": op6_rabin_karp_windows,
     "op7_repair_token_files": op7_repair_token_files,
     "op9_importance_resampling": op9_importance_resampling,
     "op10_pivotal_mixing": op10_pivotal_mixing,
