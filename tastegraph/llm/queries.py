@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tastegraph.llm import decontaminate, mixing, ngram_join, quality_sampling, substring, token_files
+from tastegraph.llm import decontaminate, mixing, ngram_join, quality_rules, quality_sampling, substring, token_files
 from tastegraph.llm.common import WORD, fresh_path, read_table
 
 
@@ -37,6 +37,14 @@ def op7_repair_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_files(spark, path)
 
 
+def op8_ngram_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    model = quality_rules.fit(docs, read_table(spark, sf_dir, "labels"))
+    scored = quality_rules.score(docs, model)
+    counts = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+    return scored.select("doc_id", *counts, "base_failed", "kept", F.round("probability", 4).alias("probability"))
+
+
 def op9_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     chosen = quality_sampling.resample(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
     return chosen.select("doc_id", "n_words", F.round("log_weight", 4).alias("log_weight"), "kept")
@@ -52,6 +60,7 @@ QUERIES = {
     "op4_minhash_containment": op4_minhash_containment,
     "op6_rabin_karp_windows": op6_rabin_karp_windows,
     "op7_repair_token_files": op7_repair_token_files,
+    "op8_ngram_quality_rules": op8_ngram_quality_rules,
     "op9_importance_resampling": op9_importance_resampling,
     "op10_pivotal_mixing": op10_pivotal_mixing,
 }

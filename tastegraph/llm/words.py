@@ -14,11 +14,11 @@ import pyarrow as pa
 
 BLOCK_BYTES = 1 << 21
 _U = np.uint64
-_SPACE = np.zeros(256, bool)
-_SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
+SPACE = np.zeros(256, bool)
+SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 _random = np.random.Generator(np.random.PCG64(20240229))
 _BYTE = _random.integers(1, 1 << 64, 256, dtype=np.uint64)
-_BYTE[_SPACE] = 0
+_BYTE[SPACE] = 0
 _BYTE_LOWER = _BYTE.copy()
 _BYTE_LOWER[65:91] = _BYTE[97:123]
 _STEP = _U(0x9E3779B97F4A7C15)
@@ -50,7 +50,7 @@ class Block:
     def __init__(self, row: int, data: np.ndarray, edges: np.ndarray):
         self.row, self.data, self.edges = row, data, edges
         self.rows = len(edges) - 1
-        inside = ~_SPACE[data]
+        inside = ~SPACE[data]
         fresh = np.ones(len(data) + 1, bool)  # a row or a run of bytes begins here
         fresh[1:-1] = ~inside[:-1]
         fresh[edges] = True
