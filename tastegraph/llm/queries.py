@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tastegraph.llm import decontaminate, mixing, ngram_join, quality_rules, quality_sampling, substring, token_files
+from tastegraph.llm import decontaminate, mixing, ngram_join, quality_rules, quality_sampling, substring, token_counts, token_files
 from tastegraph.llm.common import WORD, fresh_path, read_table
 
 
@@ -26,6 +26,11 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op5_transducer_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counted = token_counts.count_tokens(read_table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
+    return counted.select("doc_id", "n_bytes", "n_tokens", "over_limit")
+
+
 def op6_rabin_karp_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = substring.cut(read_table(spark, sf_dir, "documents"))
     return cut.select("doc_id", "n_words", "n_removed", "kept_sha256")
@@ -58,6 +63,7 @@ def op10_pivotal_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op2_ngram_jaccard_join": op2_ngram_jaccard_join,
     "op4_minhash_containment": op4_minhash_containment,
+    "op5_transducer_token_counts": op5_transducer_token_counts,
     "op6_rabin_karp_windows": op6_rabin_karp_windows,
     "op7_repair_token_files": op7_repair_token_files,
     "op8_ngram_quality_rules": op8_ngram_quality_rules,
