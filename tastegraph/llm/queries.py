@@ -5,10 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tastegraph.llm import decontaminate, mixing, ngram_join, quality_rules, quality_sampling, substring, token_counts, token_files
+from tastegraph.llm import archives, decontaminate, mixing, ngram_join, quality_rules, quality_sampling, substring, token_counts, token_files
 from tastegraph.llm.common import WORD, fresh_path, read_table
 
 
+def op1_arc_to_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = fresh_path(spark, "warc")
+    archives.write_warc(archives.pages_to_arc(read_table(spark, sf_dir, "pages")), path, least_bytes=0)
+    return archives.read_warc(spark, path).drop("record")
+
+
 def op2_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     linked = ngram_join.link_documents(read_table(spark, sf_dir, "documents"))
     return linked.select("doc_id", "n_shingles", "component_id", "links")
@@ -61,6 +67,7 @@ def op10_pivotal_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_arc_to_warc": op1_arc_to_warc,
     "op2_ngram_jaccard_join": op2_ngram_jaccard_join,
     "op4_minhash_containment": op4_minhash_containment,
     "op5_transducer_token_counts": op5_transducer_token_counts,
