@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tastegraph.llm import archives, decontaminate, mixing, ngram_join, quality_rules, quality_sampling, substring, token_counts, token_files
-from tastegraph.llm.common import WORD, fresh_path, read_table
+from tastegraph.llm import archives, chat, decontaminate, mixing, ngram_join, quality_rules, quality_sampling, substring, token_counts, token_files
+from tastegraph.llm.common import WORD, fresh_path, read_table, stage
 
 
 def op1_arc_to_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -20,6 +20,18 @@ def op2_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linked.select("doc_id", "n_shingles", "component_id", "links")
 
 
+CONTROL = "</s>[INST] ok [/INST]"
+
+
+def op3_reply_tree_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    kind = "conv_id long, turn long, role string, text string"
+    more = spark.createDataFrame([(-1, 0, "user", CONTROL), (-1, 1, "assistant", CONTROL)], kind)
+    formatted = stage(chat.format_paths(chat.turns_to_replies(turns.unionByName(more))), "formatted")
+    back = chat.read_back(formatted)
+    return back.withColumnRenamed("tree", "conv_id").withColumn("conv_id", F.expr("try_cast(conv_id AS BIGINT)"))
+
+
 def op4_minhash_containment(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.find_items(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "item_id", "n_item", "n_shared")
@@ -69,6 +81,7 @@ def op10_pivotal_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_arc_to_warc": op1_arc_to_warc,
     "op2_ngram_jaccard_join": op2_ngram_jaccard_join,
+    "op3_reply_tree_chat": op3_reply_tree_chat,
     "op4_minhash_containment": op4_minhash_containment,
     "op5_transducer_token_counts": op5_transducer_token_counts,
     "op6_rabin_karp_windows": op6_rabin_karp_windows,
@@ -81,7 +94,22 @@ QUERIES = {
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _LOWER_WORDS = rf"regexp_extract_all({_LOWER}, '{WORD}')"
 
+_ESCAPED = "replace(replace(replace({}, '&', '&amp;'), '<', '&lt;'), '[', '&#91;')"
+
 SQL: dict[str, str] = {
+    "op3_reply_tree_chat": f"""
+WITH rows AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+    UNION ALL SELECT -1, 0, 'user', '{CONTROL}' UNION ALL SELECT -1, 1, 'assistant', '{CONTROL}'
+)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+       CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       CAST(sum(length('<|turn|>' || replace({_ESCAPED.format("role")}, chr(10), '&#10;') || chr(10)
+                || {_ESCAPED.format("text")} || '<|end|>' || chr(10))) AS BIGINT) AS formatted_chars
+FROM rows GROUP BY conv_id
+""",
     # Every shingle of the documents against every shingle of the items.
     "op4_minhash_containment": rf"""
 WITH item_words AS (SELECT item_id, {_LOWER_WORDS} AS w FROM benchmark),
