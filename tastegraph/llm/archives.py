@@ -22,7 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tastegraph.llm.common import filter_place, id_filter, may_hold, stage
+from tastegraph.llm.common import stage
 
 FIELDS = {
     b"1": ("url", "ip", "date", "type", "length"),
@@ -131,7 +131,7 @@ def pages_to_arc(pages: DataFrame, id_col: str = "page_id", url_col: str = "url"
     return chosen.mapInArrow(work, "content binary")
 
 
-_FIELDS = "record_id string, key long, page_id long, digest string, size long, url string, date string, http binary"
+_FIELDS = "record_id string, page_id long, digest string, size long, url string, date string, http binary"
 
 
 def convert(archives: DataFrame, with_payload: bool = True) -> DataFrame:
@@ -142,7 +142,7 @@ def convert(archives: DataFrame, with_payload: bool = True) -> DataFrame:
     """
 
     def work(batches):
-        names = ["record_id", "key", "page_id", "digest", "size", "url", "date", "http"] + ["payload"] * with_payload
+        names = ["record_id", "page_id", "digest", "size", "url", "date", "http"] + ["payload"] * with_payload
         for batch in batches:
             for content in batch.column(0):
                 rows, held = [], 0
@@ -153,8 +153,7 @@ def convert(archives: DataFrame, with_payload: bool = True) -> DataFrame:
                     page = next((int(h[11:]) for h in http.split(b"\r\n") if h.startswith(b"X-Page-Id: ")), None)
                     d = record["date"]
                     date = f"{d[:4]}-{d[4:6]}-{d[6:8]}T{d[8:10]}:{d[10:12]}:{d[12:14]}Z"
-                    key = int.from_bytes(own.bytes[:8], "little", signed=True)
-                    rows.append((str(own), key, page, digest, len(payload), record["url"], date, http, payload)[: len(names)])
+                    rows.append((str(own), page, digest, len(payload), record["url"], date, http, payload)[: len(names)])
                     held += len(payload) if with_payload else 100
                     if held > 1 << 22:
                         yield _batch(rows, names)
@@ -166,13 +165,13 @@ def convert(archives: DataFrame, with_payload: bool = True) -> DataFrame:
 
 
 def _batch(rows: list[tuple], names: list[str]) -> pa.RecordBatch:
-    kinds = {"key": pa.int64(), "page_id": pa.int64(), "size": pa.int64(), "http": pa.binary(), "payload": pa.binary()}
+    kinds = {"page_id": pa.int64(), "size": pa.int64(), "http": pa.binary(), "payload": pa.binary()}
     columns = [pa.array(c, kinds.get(n, pa.string())) for n, c in zip(names, zip(*rows, strict=True), strict=True)]
     return pa.RecordBatch.from_arrays(columns, names)
 
 
 def revisits(records: DataFrame, least_bytes: int = 0) -> DataFrame:
-    """(record_id, key, refers_id, refers_url, refers_date) of records whose payload another one holds.
+    """(record_id, refers_id, refers_url, refers_date) of records whose payload another one holds.
 
     Of equal payloads of at least ``least_bytes`` the record with the smallest page id is
     the original; records without a page id come last, ties go to the smaller record id.
@@ -182,26 +181,17 @@ def revisits(records: DataFrame, least_bytes: int = 0) -> DataFrame:
     best = large.groupBy("digest").agg(F.min(first).alias("best"), F.count("*").alias("n")).where("n > 1")
     found = large.join(best, "digest").where("record_id <> best.record_id")
     return found.select(
-        "record_id", "key", F.col("best.record_id").alias("refers_id"), F.col("best.url").alias("refers_url"), F.col("best.date").alias("refers_date")
+        "record_id", F.col("best.record_id").alias("refers_id"), F.col("best.url").alias("refers_url"), F.col("best.date").alias("refers_date")
     )
 
 
 def write_warc(archives: DataFrame, path: str, least_bytes: int = 0) -> None:
     """Convert ARC files (column content) to gzipped WARC files below ``path``.
 
-    Payloads do not move: only records that a bitmap of the revisits lets through are
-    joined with them by their own ids, which are all different.
+    Which records are revisits is found from digests alone.
     """
-    spark = archives.sparkSession
     light = stage(convert(archives, with_payload=False).drop("http"), "records")
     again = stage(revisits(light, least_bytes), "revisits")
-    bitmap = spark.sparkContext.broadcast(id_filter(again, filter_place("key")))
-
-    @F.pandas_udf("boolean")
-    def may_revisit(place):
-        import pandas as pd
-
-        return pd.Series(may_hold(bitmap.value, place.to_numpy()))
 
     def work(batches):
         part, first = TaskContext.get().partitionId(), True
@@ -233,17 +223,10 @@ def write_warc(archives: DataFrame, path: str, least_bytes: int = 0) -> None:
                 out.append(warc_record(kind, fields, block))
             yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], ["value"])
 
-    records = convert(archives)
-    marked = records.withColumn("maybe", may_revisit(filter_place("key")))
-    names = [*records.columns, "refers_id", "refers_url", "refers_date"]
-    plain = marked.where("NOT maybe")
-    for name in names[-3:]:
-        plain = plain.withColumn(name, F.lit(None).cast("string"))
-    checked = marked.where("maybe").join(again.drop("key"), "record_id", "left")
-    rows = plain.select(names).unionByName(checked.select(names)).drop("key")
+    # Record ids are all different, so a hot payload does not gather anywhere.
+    rows = convert(archives).join(again, "record_id", "left")
     blocks = rows.mapInArrow(work, "value binary")
     blocks.select(F.col("value").cast("string").alias("value")).write.option("lineSep", "\r\n\r\n").option("compression", "gzip").text(path)
-    bitmap.destroy()
 
 
 def read_warc(spark: SparkSession, path: str) -> DataFrame:
