@@ -71,26 +71,39 @@ def _climb(nodes: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
         F.lit(1).cast("long").alias("depth"),
         F.col("score").cast("double").alias("score"),
     )
-    now, steps = stage(now, "climb"), []
-    most = nodes.count()
-    while (1 << len(steps)) <= 2 * most and not now.where("above IS NOT NULL").isEmpty():
-        steps.append(now.where("above IS NOT NULL").select("tree", "node", "above"))
-        up = now.select(
+    now, steps, done = stage(now, "climb"), [], []
+    most = max(1, nodes.count())
+    while (1 << len(steps)) <= 2 * most:
+        done.append(now.where("above IS NULL"))
+        # Only nodes that have not reached their root climb on.
+        still = now.where("above IS NOT NULL")
+        if still.isEmpty():
+            break
+        steps.append(still.select("tree", "node", "above"))
+        known = now if len(done) == 1 else _all(done[:-1]).unionByName(now)
+        up = known.select(
             "tree",
             F.col("node").alias("above"),
             F.col("above").alias("next"),
             F.col("depth").alias("up_depth"),
             F.col("score").alias("up_score"),
         )
-        now = now.join(up, ["tree", "above"], "left").select(
+        now = still.join(up, ["tree", "above"]).select(
             "tree",
             "node",
             F.col("next").alias("above"),
-            (F.col("depth") + F.coalesce("up_depth", F.lit(0))).alias("depth"),
-            (F.col("score") + F.coalesce("up_score", F.lit(0.0))).alias("score"),
+            (F.col("depth") + F.col("up_depth")).alias("depth"),
+            (F.col("score") + F.col("up_score")).alias("score"),
         )
         now = stage(now, "climb")
-    return now.where("above IS NULL").drop("above"), steps
+    return _all(done).drop("above"), steps
+
+
+def _all(tables: list[DataFrame]) -> DataFrame:
+    out = tables[0]
+    for table in tables[1:]:
+        out = out.unionByName(table)
+    return out
 
 
 def best_paths(messages: DataFrame, per_tree: int = 1) -> DataFrame:
