@@ -149,12 +149,8 @@ def with_inputs(body: str, **extra: str) -> str:
 
 
 def given(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A given table; text tables in fewer splits than cores are spread over them."""
-    rows = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    cores = spark.sparkContext.defaultParallelism
-    if name in ("documents", "pages") and rows.rdd.getNumPartitions() < cores:
-        return rows.repartition(cores)
-    return rows
+    """A given table; how it is split is up to ``spark.sql.files.maxPartitionBytes``."""
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -80,7 +80,7 @@ def recommend_blocked(spark, sf):
     games = stage(_games(spark, sf), "games")
     best = recommender.recommend(
         tag_lists(spark, sf), table(spark, sf, "playtimes"), games,
-        table(spark, sf, "reviews"), K.TOP_N, THRESHOLD, broadcast_rows=0,
+        table(spark, sf, "reviews"), K.TOP_N, THRESHOLD, broadcast_rows=2_000,
     )
     return rounded(best, "normalized_score")
 

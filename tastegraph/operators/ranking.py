@@ -21,8 +21,8 @@ from pyspark.sql.window import Window
 KEYS_PER_RANGE, LEAST_SAMPLED, MOST_SAMPLED = 20, 2_000, 50_000
 # Bounds the literal boundaries and every per-range table below.
 MAX_RANGES = 4096
-# Largest group that one task may order.
-WINDOW_ROWS = 1_000_000
+# Ranges per narrowing step, and keys from which one task may find the last one.
+NARROWING, FEW_KEYS = 256, 20_000
 KEY = "__key"
 RANGE = "__range"
 
@@ -35,9 +35,11 @@ def range_boundaries(df: DataFrame, key: Column, ranges: int) -> list:
     """At most ``ranges - 1`` ascending cut points of ``key``, as driver rows."""
     if ranges < 2:
         return []
-    # The keys with the lowest hashes: one pass, and never more than the limit.
     size = min(MOST_SAMPLED, max(LEAST_SAMPLED, KEYS_PER_RANGE * ranges))
-    sample = df.select(key.alias(KEY)).orderBy(F.xxhash64(KEY, F.rand(7))).limit(size)
+    keys = df.select(key.alias(KEY))
+    # Each key is drawn on its own, so no task gathers the samples of all others.
+    share = size / max(1, keys.count())
+    sample = keys if share >= 1 else keys.where(F.rand(7) < share)
     rows = sample.groupBy(KEY).count().orderBy(KEY).collect()
     step = sum(r["count"] for r in rows) / ranges
     cuts, seen, target = [], 0, step
@@ -129,15 +131,10 @@ def rank_within(
 ) -> DataFrame:
     """Row number 1.. inside each group; a group may be larger than one task.
 
-    While the largest group is small, this is a plain window. Otherwise a group is
-    spread over the ranges it covers; the counts of its lower ranges are summed per
-    group (at most MAX_RANGES rows each) and joined back on the keys the window needs.
+    A group is spread over the ranges it covers; the counts of its lower ranges are
+    summed per group (at most MAX_RANGES rows each) and joined back on the keys the
+    window needs.
     """
-    if ranges is None:
-        sizes = df.groupBy(*partition_by).agg(F.count(F.lit(1)).alias("n"))
-        if (sizes.agg(F.max("n")).first()[0] or 0) <= WINDOW_ROWS:
-            window = Window.partitionBy(*partition_by).orderBy(*order_by)
-            return df.withColumn(name, F.row_number().over(window).cast("long"))
     groups = [F.col(c) for c in partition_by]
     cut = _with_ranges(df, [*groups, *order_by], ranges)
     counts = cut.groupBy(*partition_by, RANGE).agg(F.count(F.lit(1)).alias("__n"))
@@ -183,35 +180,35 @@ def first_per_key(df: DataFrame, key: Sequence[str], order_by: Sequence[Column])
     return top_k_per_group(df, key, order_by, 1).drop("rank")
 
 
-def first_rows(df: DataFrame, order_by: Sequence[Column], n: int, direct: int = 100_000) -> DataFrame:
+def first_rows(df: DataFrame, order_by: Sequence[Column], n: int, few: int = FEW_KEYS) -> DataFrame:
     """Exactly the first ``n`` rows of a total order, without sorting wide rows.
 
-    The n-th key is found on the key columns alone; the rows are then one filter
-    over the scan. Small ``n`` uses a top-k plan for the key, larger ``n`` first
-    finds the range that holds it.
+    The n-th key is found on the key columns alone: ranges are counted and the one that
+    holds it is cut again, until few keys or only equal ones are left. The rows are then
+    one filter over the scan.
     """
     keyed = df.withColumn(KEY, _order_key(order_by))
     if n <= 0:
         return df.limit(0)
     keys = keyed.select(KEY)
     data_type = keyed.schema[KEY].dataType
-    remaining = n
-    if n > direct:
-        cuts = range_boundaries(keys, F.col(KEY), 256)
+    remaining, total = n, keys.count()
+    if total <= n:
+        return df
+    while total > few:
+        cuts = range_boundaries(keys, F.col(KEY), NARROWING)
         numbered = keys.withColumn(RANGE, range_number(F.col(KEY), cuts, data_type))
         counts = {r[RANGE]: r["count"] for r in numbered.groupBy(RANGE).count().collect()}
-        chosen = None
         for number in sorted(counts):
             if counts[number] >= remaining:
-                chosen = number
                 break
             remaining -= counts[number]
-        if chosen is None:
-            return df
-        keys = numbered.filter(F.col(RANGE) == chosen).select(KEY)
-    last = keys.orderBy(KEY).limit(remaining).agg(F.max(KEY).alias(KEY)).first()[KEY]
-    if last is None:
-        return df
+        if counts[number] == total:
+            break
+        total = counts[number]
+        keys = numbered.filter(F.col(RANGE) == number).select(KEY)
+    low, high = keys.agg(F.min(KEY), F.max(KEY)).first()
+    last = low if low == high else keys.orderBy(KEY).limit(remaining).agg(F.max(KEY)).first()[0]
     return keyed.filter(F.col(KEY) <= F.expr(_literal(last, data_type))).drop(KEY)
 
 

@@ -23,12 +23,11 @@ from pyspark.sql.window import Window
 from tastegraph import constants as K
 from tastegraph.operators.joins import join_interactions, join_names
 from tastegraph.operators.ranking import assign_row_id, rank_reset, top_k_per_group
+from tastegraph.session import stage
 
-# Item side of a content ranking that is still sent to every executor: rows of
-# (game, tag, weight), about 40 bytes each.
+# Item side of a content ranking that travels to the executors at once: rows of
+# (game, tag, weight), about 40 bytes each. A larger one goes in several parts.
 BROADCAST_ROWS = 1_000_000
-GAMES_PER_BLOCK = 50_000
-USERS_PER_CHUNK = 50_000
 # Scores that differ by rounding noise only are ties.
 DECIMALS = 12
 
@@ -212,55 +211,33 @@ def top_content_items(
 ) -> DataFrame:
     """Exact best ``k`` unowned games per user, without emitting user-game pairs.
 
-    A catalogue of checked size travels to every executor and users are ranked in
-    place. A larger one is cut into blocks: each task ranks one chunk of users
-    against one block, and the blocks' best ``k`` are merged. Both give the same
-    rows.
+    The catalogue is cut into blocks of about ``broadcast_rows`` tag rows by a hash of
+    the game. Each block travels to the executors and ranks the users where they are;
+    the blocks' best ``k`` are merged. Users are not shuffled.
     """
-    items = games.select("game_id").join(_tag_weights(games), "game_id", "left")
-    # One evaluation both measures the item side and fetches it if it fits.
-    head = items.limit(broadcast_rows + 1).toArrow()
-    if head.num_rows <= broadcast_rows:
-        block = users.sparkSession.sparkContext.broadcast(ItemBlock.build(head))
-
-        def rank(batches):
-            for batch in batches:
-                table = pa.Table.from_batches([batch])
-                yield from block.value.rank_users(table, k).to_batches()
-
-        return users.mapInArrow(rank, RANKED)
-
-    blocks = math.ceil(games.count() / GAMES_PER_BLOCK)
-    chunks = math.ceil(users.count() / USERS_PER_CHUNK)
-    spread_users = users.withColumns(
-        {
-            "chunk": F.pmod(F.xxhash64("user_id"), F.lit(chunks)),
-            "block": F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))),
-        }
-    )
-    spread_items = items.withColumns(
-        {
-            "block": F.pmod(F.xxhash64("game_id"), F.lit(blocks)).cast("int"),
-            "chunk": F.explode(F.sequence(F.lit(0).cast("long"), F.lit(chunks - 1).cast("long"))),
-        }
-    )
-
-    def rank_block(user_table: pa.Table, item_table: pa.Table) -> pa.Table:
-        if item_table.num_rows == 0:
-            return pa.table({n: [] for n in ("user_id", "game_id", "predicted_score")}).cast(
-                pa.schema([("user_id", "int64"), ("game_id", "int64"), ("predicted_score", "double")])
-            )
-        return ItemBlock.build(item_table).rank_users(user_table, k)
-
-    best = (
-        spread_users.groupBy("block", "chunk")
-        .cogroup(spread_items.groupBy("block", "chunk"))
-        .applyInArrow(rank_block, RANKED)
-    )
+    spark = users.sparkSession
+    users = stage(users, "users")
+    items = stage(games.select("game_id").join(_tag_weights(games), "game_id", "left"), "items")
+    blocks = max(1, math.ceil(items.count() / max(1, broadcast_rows)))
+    place = F.pmod(F.xxhash64("game_id"), F.lit(blocks))
+    best = None
+    for number in range(blocks):
+        part = items.filter(place == number).toArrow()
+        ranked = users.mapInArrow(_block_ranker(spark.sparkContext.broadcast(ItemBlock.build(part)), k), RANKED)
+        best = ranked if best is None else best.unionByName(ranked)
     order = [F.desc("predicted_score"), F.col("game_id")]
     return top_k_per_group(best, ["user_id"], order, k).drop("rank")
 
 
+def _block_ranker(block, k: int):
+    def rank(batches):
+        for batch in batches:
+            table = pa.Table.from_batches([batch])
+            yield from block.value.rank_users(table, k).to_batches()
+
+    return rank
+
+
 def recommend(
     tags: DataFrame,
     playtimes: DataFrame,
@@ -379,8 +356,8 @@ def _hybrid_features(pairs, shares, games, stages, categories, game_index) -> Da
     )
     user = user.select("user_id", vector.alias("user_vector"))
     item = games.select("game_id", "categories").join(game_index, "game_id")
-    for stage in stages:
-        item = stage.transform(item)
+    for step in stages:
+        item = step.transform(item)
     item = item.select("game_id", "item_vector")
     joined = pairs.join(item, "game_id").join(user, "user_id")
     assembler = VectorAssembler(inputCols=["user_vector", "item_vector"], outputCol="features")
@@ -397,7 +374,9 @@ def train_hybrid(
 ) -> HybridModel:
     """Fit the feature factorisation on observed and hashed unplayed pairs."""
     index = index_entities(games, "game_id")
-    tags = CountVectorizer(inputCol="categories", outputCol="tag_counts").fit(games)
+    # As many places as there are tags, so that none is left out.
+    kinds = games.select(F.explode("categories").alias("c")).distinct().count()
+    tags = CountVectorizer(inputCol="categories", outputCol="tag_counts", vocabSize=max(1, kinds)).fit(games)
     size = index.count()
     hot = OneHotEncoder(inputCol="idx", outputCol="identity", dropLast=False)
     hot = hot.fit(index)

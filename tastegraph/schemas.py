@@ -21,7 +21,7 @@ SCORE_TABLE = T.StructType(
 # Wire formats; ids travel as strings.
 REVIEW_MESSAGE = T.StructType(
     [
-        T.StructField("id", T.IntegerType()),
+        T.StructField("id", T.LongType()),
         T.StructField("app_id", T.StringType()),
         T.StructField("app_name", T.StringType()),
         T.StructField("sentiment_target", T.StringType()),

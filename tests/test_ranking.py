@@ -45,7 +45,7 @@ def test_row_ids_are_dense_for_any_range_count(hot):
 
 @pytest.mark.parametrize("direct", [100_000, 10])
 def test_first_rows(hot, direct):
-    rows = ranking.first_rows(hot, [F.col("v"), F.col("id")], 500, direct=direct).collect()
+    rows = ranking.first_rows(hot, [F.col("v"), F.col("id")], 500, few=direct).collect()
     expected = sorted((r.v, r.id) for r in hot.collect())[:500]
     assert sorted((r.v, r.id) for r in rows) == expected
     assert ranking.first_rows(hot, [F.col("id")], 9999).count() == 3000

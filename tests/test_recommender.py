@@ -53,10 +53,8 @@ def brute_force(store, k, threshold):
     return expected
 
 
-@pytest.mark.parametrize("rows", [recommender.BROADCAST_ROWS, 0])
+@pytest.mark.parametrize("rows", [recommender.BROADCAST_ROWS, 40, 15])
 def test_recommend_equals_brute_force(store, rows, monkeypatch):
-    monkeypatch.setattr(recommender, "GAMES_PER_BLOCK", 7)
-    monkeypatch.setattr(recommender, "USERS_PER_CHUNK", 3)
     best = recommender.recommend(*store, k=5, threshold=2.0, broadcast_rows=rows).collect()
     found = {(r.user_id, r.position): (r.game_id, pytest.approx(r.predicted_score)) for r in best}
     assert found == brute_force(store, 5, 2.0)
