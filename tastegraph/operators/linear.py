@@ -21,7 +21,6 @@ from tastegraph import constants as K
 from tastegraph.operators.classifiers import TermClassifier
 
 ROWS_PER_BLOCK = 50_000
-LEAST_BLOCKS = 8
 
 
 def huber_gradient(z: np.ndarray) -> np.ndarray:
@@ -73,7 +72,7 @@ def fit_modified_huber(
 ) -> TermClassifier:
     """Fit on ``idx``/``val`` arrays; ``epochs`` in total, spread over ``rounds``."""
     rows = train.select(key, label, "idx", "val")
-    blocks = max(LEAST_BLOCKS, math.ceil(rows.count() / ROWS_PER_BLOCK))
+    blocks = max(1, math.ceil(rows.count() / ROWS_PER_BLOCK))
     order = F.xxhash64(F.lit(K.SPLIT_SEED), F.col(key).cast("string"))
     blocked = rows.select(
         label, "idx", "val", order.alias("place"), F.pmod(order, F.lit(blocks)).alias("block")

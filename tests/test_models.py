@@ -143,3 +143,12 @@ def test_classes_must_be_known(spark, docs):
     arrays = features.with_tfidf(docs.filter("review_score = 1"), features.fit_vocabulary(docs, "review_id"))
     with pytest.raises(ValueError, match="classes"):
         classifiers.fit_naive_bayes(arrays, 400)
+
+
+def test_sgd_beats_the_majority_class(spark):
+    """On the larger small table, where the rarer class has a chance."""
+    import registry
+
+    rows = registry.all_queries()["sgd_modified_huber"](spark, "/root/testdata/sf0.01").collect()
+    right = sum(r["label"] == r["prediction"] for r in rows)
+    assert right > max(sum(r["label"] == c for r in rows) for c in (-1, 1))
