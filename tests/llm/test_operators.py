@@ -151,6 +151,20 @@ def test_join_with_split_groups_and_no_draws(docs, rows, monkeypatch):
     assert Counter(map(tuple, ngram_join.link_documents(docs).select("doc_id", "component_id").collect())) == want
 
 
+@pytest.mark.parametrize("split", [10, 2])
+def test_links_are_counted_as_by_brute_force(spark, docs, rows, monkeypatch, split):
+    """Every link counts, also those inside a component, in one block or many."""
+    monkeypatch.setattr(ngram_join, "SPLIT_FROM", split)
+    monkeypatch.setattr(ngram_join, "COLUMNS", 7)
+    sets = _sets(rows)
+    distinct = set(sets) - {frozenset()}
+    like = lambda a, b: 100 * len(a & b) >= 75 * len(a | b)
+    degree = {a: sum(a != b and like(a, b) for b in distinct) for a in distinct}
+    want = Counter((rows[i][0], degree.get(s, 0)) for i, s in enumerate(sets))
+    assert max(degree.values()) >= 8
+    assert Counter(map(tuple, ngram_join.link_documents(docs).select("doc_id", "links").collect())) == want
+
+
 def test_near_copies_of_near_copies_keep_their_links(spark):
     """A chain of small steps: ends are unlike, yet one component."""
     rng = random.Random(5)
