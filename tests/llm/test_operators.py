@@ -347,6 +347,16 @@ def test_resampling_keeps_clean_and_drops_other(spark):
     assert sum(clean) >= 0.99 * len(clean) and sum(other) <= 0.01 * len(other)
 
 
+@pytest.mark.parametrize("n", [240, 1600])
+def test_resampling_drops_toxic_at_any_size(spark, n):
+    docs, marks = _labelled(spark, n)
+    known = spark.createDataFrame([m for m in marks if m[0] % 16 < 10], "doc_id long, quality int, toxic int")
+    kept = {r["doc_id"]: r["kept"] for r in quality_sampling.resample(docs, known).collect()}
+    clean = [kept[i] for i, q, t in marks if i % 16 >= 10 and q == 1 and t == 0]
+    toxic = [kept[i] for i, _, t in marks if t]
+    assert sum(clean) >= 0.95 * len(clean) and sum(toxic) <= 0.05 * len(toxic)
+
+
 def test_kth_largest(spark):
     values = [5, 5, 5, -3, 10**15, 0, -(10**15), 7]
     table = spark.createDataFrame([(v,) for v in values], "x long")
