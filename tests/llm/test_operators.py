@@ -144,10 +144,9 @@ def test_join_links_what_brute_force_links(docs, rows):
     assert Counter(map(tuple, got)) == want
 
 
-def test_join_with_split_groups_and_no_draws(docs, rows, monkeypatch):
+def test_join_with_split_groups(docs, rows, monkeypatch):
     want = Counter(map(tuple, ngram_join.link_documents(docs).select("doc_id", "component_id").collect()))
     monkeypatch.setattr(ngram_join, "SPLIT_FROM", 2)
-    monkeypatch.setattr(ngram_join, "ROUNDS", 0)
     assert Counter(map(tuple, ngram_join.link_documents(docs).select("doc_id", "component_id").collect())) == want
 
 
