@@ -25,7 +25,7 @@ def test_query_matches_sql(spark, duck, name):
     assert difference(spark, SF_DIR, queries.QUERIES[name], queries.SQL[name], duck) is None
 
 
-@pytest.mark.parametrize("name", sorted(set(queries.QUERIES) - set(queries.SQL)))
+@pytest.mark.parametrize("name", sorted(set(queries.QUERIES) - set(queries.SQL) - {"op12_bit_sliced_whitening"}))
 def test_query_has_a_row_per_document(spark, name):
     table = "pages" if name.startswith("op1_") else "documents"
     assert queries.QUERIES[name](spark, SF_DIR).count() == spark.read.parquet(f"{SF_DIR}/{table}.parquet").count()
