@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from registry.inputs import rounded, table, tag_lists, with_inputs
 from tastegraph import constants as K
@@ -76,15 +77,39 @@ def recommend(spark, sf):
 
 
 def recommend_blocked(spark, sf):
-    """The same for a catalogue too large to send to every executor."""
+    """The same with a catalogue cut into many blocks."""
     games = stage(_games(spark, sf), "games")
     best = recommender.recommend(
         tag_lists(spark, sf), table(spark, sf, "playtimes"), games,
-        table(spark, sf, "reviews"), K.TOP_N, THRESHOLD, broadcast_rows=2_000,
+        table(spark, sf, "reviews"), K.TOP_N, THRESHOLD, item_rows=2_000,
     )
     return rounded(best, "normalized_score")
 
 
+def _by_model(scorer):
+    """What any scorer must give each user: as many games as there are, in order, none
+    owned, all above the cut."""
+
+    def run(spark, sf):
+        games, played = stage(_games(spark, sf), "games"), table(spark, sf, "playtimes")
+        best = recommender.recommend(
+            tag_lists(spark, sf), played, games, table(spark, sf, "reviews"), K.TOP_N, THRESHOLD, scorer=scorer
+        )
+        owned = played.select("user_id", "game_id", F.lit(1).alias("owned"))
+        marked = stage(best, "best").join(owned, ["user_id", "game_id"], "left")
+        before = F.lag("predicted_score").over(Window.partitionBy("user_id").orderBy("position"))
+        marked = marked.withColumn("falls", F.coalesce(before >= F.col("predicted_score"), F.lit(True)))
+        return marked.groupBy("user_id").agg(
+            F.count_distinct("game_id").alias("games"),
+            F.max("position").cast("long").alias("last_position"),
+            F.count("owned").alias("owned"),
+            F.min((F.col("normalized_score") > THRESHOLD).cast("int")).alias("above_cut"),
+            F.min(F.col("falls").cast("int")).alias("in_order"),
+        )
+
+    return run
+
+
 def train_als(spark, sf):
     pairs = stage(interactions(spark, sf), "interactions")
     model, users, games = recommender.train_als(pairs)
@@ -92,12 +117,11 @@ def train_als(spark, sf):
 
 
 def train_hybrid(spark, sf):
-    """Fit the feature factorisation and score the pairs it was fitted on."""
+    """Fit the feature factorisation and score every observed pair."""
     games = stage(_games(spark, sf), "games")
     shares = stage(_shares(spark, sf), "shares")
     pairs = stage(recommender.interactions(table(spark, sf, "playtimes"), games), "interactions")
-    model = recommender.train_hybrid(pairs, shares, games)
-    return model.predict(pairs, shares, games)
+    return recommender.train_hybrid(pairs, shares, games).predict(pairs)
 
 
 PAIR_SCORE = """
@@ -126,6 +150,12 @@ LEFT JOIN (SELECT app_id, arg_min(app_name, review_id) AS app_name FROM reviews
            WHERE app_name IS NOT NULL GROUP BY app_id) n ON n.app_id = b.game_id
 WHERE b.rank <= {K.TOP_N}
 """
+# Of a model's ranking SQL can tell all but the order of the games.
+LISTED = f"""
+SELECT user_id, LEAST(COUNT(*), {K.TOP_N}) AS games, LEAST(COUNT(*), {K.TOP_N}) - 1 AS last_position,
+       CAST(0 AS BIGINT) AS owned, 1 AS above_cut, 1 AS in_order
+FROM open_pairs GROUP BY user_id
+"""
 RECOMMEND_SQL = with_inputs(
     RECOMMENDED, open_pairs=OPEN_PAIRS, open_scores=PAIR_SCORE.format(pairs="open_pairs")
 )
@@ -166,6 +196,8 @@ QUERIES = {
     ),
     "recommend": (recommend, RECOMMEND_SQL),
     "recommend_blocked": (recommend_blocked, RECOMMEND_SQL),
+    "recommend_als": (_by_model("als"), with_inputs(LISTED, open_pairs=OPEN_PAIRS)),
+    "recommend_fm": (_by_model("fm"), with_inputs(LISTED, open_pairs=OPEN_PAIRS)),
     "train_als": (train_als, None),
     "train_hybrid": (train_hybrid, None),
 }

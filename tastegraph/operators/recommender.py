@@ -6,28 +6,23 @@ share in that tag, times the tag's weight in the game.
 
 from __future__ import annotations
 
-import math
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.ml.feature import CountVectorizer, Normalizer, OneHotEncoder, VectorAssembler
-from pyspark.ml.functions import array_to_vector
 from pyspark.ml.recommendation import ALS, ALSModel
-from pyspark.ml.regression import FMRegressionModel, FMRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tastegraph import constants as K
+from tastegraph.operators.blocked import ITEM_ROWS, VectorBlock, block_top_k
+from tastegraph.operators.hybrid import train_hybrid
 from tastegraph.operators.joins import join_interactions, join_names
-from tastegraph.operators.ranking import assign_row_id, rank_reset, top_k_per_group
+from tastegraph.operators.ranking import assign_row_id, rank_reset
 from tastegraph.session import stage
 
-# Item side of a content ranking that travels to the executors at once: rows of
-# (game, tag, weight), about 40 bytes each. A larger one goes in several parts.
-BROADCAST_ROWS = 1_000_000
 # Scores that differ by rounding noise only are ties.
 DECIMALS = 12
 
@@ -153,7 +148,7 @@ class ItemBlock:
         return self.game_ids[best], scores[best]
 
     def rank_users(self, users: pa.Table, k: int) -> pa.Table:
-        """Best games of every user of a batch of ``user_rows``."""
+        """Best games of every user: rows with tags, shares and owned games."""
         tags, tag_ends = _flat(users["categories"])
         shares, _ = _flat(users["shares"])
         owned, owned_ends = _flat(users["owned"])
@@ -184,58 +179,43 @@ def _flat(lists: pa.ChunkedArray) -> tuple[pa.Array, np.ndarray]:
     return whole.flatten(), np.concatenate([[0], np.cumsum(sizes)]).astype("int64")
 
 
-RANKED = "user_id bigint, game_id bigint, predicted_score double"
-
-
-def user_rows(shares: DataFrame, owned: DataFrame) -> DataFrame:
-    """One row per user: tag shares and owned games.
+def top_content_items(
+    shares: DataFrame, owned: DataFrame, games: DataFrame, k: int, item_rows: int = ITEM_ROWS
+) -> DataFrame:
+    """Exact best ``k`` unowned games per user by content score.
 
-    The lists are bounded by the number of tags and of rankable games; ``owned`` is
-    expected to hold rankable games only.
+    Users are those of ``shares`` or ``owned``; their tag lists are bounded by the tags.
     """
-    profile = shares.groupBy("user_id").agg(
-        F.collect_list(F.struct("category", "weight")).alias("p")
-    )
-    library = owned.groupBy("user_id").agg(F.collect_set("game_id").alias("owned"))
-    joined = profile.join(library, "user_id", "full")
-    return joined.select(
+    profile = shares.groupBy("user_id").agg(F.collect_list(F.struct("category", "weight")).alias("p"))
+    everyone = shares.select("user_id").union(owned.select("user_id")).distinct()
+    users = everyone.join(profile, "user_id", "left").select(
         "user_id",
         F.coalesce(F.col("p.category"), F.array().cast("array<string>")).alias("categories"),
         F.coalesce(F.col("p.weight"), F.array().cast("array<double>")).alias("shares"),
-        F.coalesce("owned", F.array().cast("array<bigint>")).alias("owned"),
     )
+    items = games.select("game_id").join(_tag_weights(games), "game_id", "left")
+    return block_top_k(users, items, owned, k, ItemBlock.build, item_rows=item_rows)
 
 
-def top_content_items(
-    users: DataFrame, games: DataFrame, k: int, broadcast_rows: int = BROADCAST_ROWS
-) -> DataFrame:
-    """Exact best ``k`` unowned games per user, without emitting user-game pairs.
+def top_vector_items(
+    user_vectors: DataFrame, item_vectors: DataFrame, owned: DataFrame, games: DataFrame, k: int,
+    item_rows: int = ITEM_ROWS,
+) -> DataFrame:
+    """Exact best ``k`` unowned games per user by inner product.
 
-    The catalogue is cut into blocks of about ``broadcast_rows`` tag rows by a hash of
-    the game. Each block travels to the executors and ranks the users where they are;
-    the blocks' best ``k`` are merged. Users are not shuffled.
+    Users and games that the model has not seen get a zero vector: such a user's games, and
+    such a game for all, score 0.
     """
-    spark = users.sparkSession
-    users = stage(users, "users")
-    items = stage(games.select("game_id").join(_tag_weights(games), "game_id", "left"), "items")
-    blocks = max(1, math.ceil(items.count() / max(1, broadcast_rows)))
-    place = F.pmod(F.xxhash64("game_id"), F.lit(blocks))
-    best = None
-    for number in range(blocks):
-        part = items.filter(place == number).toArrow()
-        ranked = users.mapInArrow(_block_ranker(spark.sparkContext.broadcast(ItemBlock.build(part)), k), RANKED)
-        best = ranked if best is None else best.unionByName(ranked)
-    order = [F.desc("predicted_score"), F.col("game_id")]
-    return top_k_per_group(best, ["user_id"], order, k).drop("rank")
-
+    size = item_vectors.select(F.size("vector")).first()
+    none = F.array_repeat(F.lit(0.0), size[0] if size else 1)
+    everyone = user_vectors.select("user_id").union(owned.select("user_id")).distinct()
+    users = everyone.join(user_vectors, "user_id", "left").select("user_id", F.coalesce("vector", none).alias("vector"))
+    items = games.select("game_id").distinct().join(item_vectors, "game_id", "left")
+    items = items.select("game_id", F.coalesce("vector", none).alias("vector"))
+    return block_top_k(users, items, owned, k, VectorBlock, item_rows=item_rows)
 
-def _block_ranker(block, k: int):
-    def rank(batches):
-        for batch in batches:
-            table = pa.Table.from_batches([batch])
-            yield from block.value.rank_users(table, k).to_batches()
 
-    return rank
+SCORERS = ("content", "als", "fm")
 
 
 def recommend(
@@ -245,23 +225,33 @@ def recommend(
     reviews: DataFrame,
     k: int = K.TOP_N,
     threshold: float = K.SCORE_THRESHOLD,
-    broadcast_rows: int = BROADCAST_ROWS,
+    scorer: str = "content",
+    item_rows: int = ITEM_ROWS,
+    **training,
 ) -> DataFrame:
     """Top ``k`` unowned games above the score threshold for every user.
 
-    Filtering by threshold and ownership comes before the ranking, which leaves
-    the same first ``k`` as filtering a full ranking. Gives (user_id, position,
-    game_id, app_name, predicted_score, normalized_score).
+    ``scorer`` is ``content``, ``als`` (implicit factorisation) or ``fm`` (factors of the
+    users' and games' features); the trained ones are fitted on the playtimes of all scored
+    games, with ``training`` as options. Filtering by threshold and ownership comes before
+    the ranking, which leaves the same first ``k`` as filtering a full ranking. Gives
+    (user_id, position, game_id, app_name, predicted_score, normalized_score).
     """
+    if scorer not in SCORERS:
+        raise ValueError(f"scorer must be one of {SCORERS}, not {scorer!r}")
     rankable = games.filter(F.col("normalized_score") > F.lit(float(threshold)))
+    owned = playtimes.select("user_id", "game_id").where("user_id IS NOT NULL")
     shares = user_features(user_category_profile(tags, playtimes))
-    owned = (
-        playtimes.select("user_id", "game_id")
-        .join(rankable.select("game_id", F.lit(True).alias("rankable")), "game_id", "left")
-        .select("user_id", F.when(F.col("rankable"), F.col("game_id")).alias("game_id"))
-    )
-    users = user_rows(shares, owned)
-    best = top_content_items(users, rankable, k, broadcast_rows)
+    if scorer == "content":
+        best = top_content_items(shares, owned, rankable, k, item_rows)
+    else:
+        pairs = stage(interactions(playtimes, games), "interactions")
+        if scorer == "als":
+            users, items = als_vectors(*train_als(pairs, **training))
+        else:
+            fitted = train_hybrid(pairs, stage(shares, "shares"), games, **training)
+            users, items = fitted.users, fitted.items
+        best = top_vector_items(users, items, owned, rankable, k, item_rows)
     return describe_recommendations(best, rankable, reviews)
 
 
@@ -297,6 +287,16 @@ def train_als(
     return als.fit(indexed), users, games
 
 
+def als_vectors(model: ALSModel, users: DataFrame, games: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(user_id, vector) and (game_id, vector) of a fitted model and its two indexes."""
+
+    def named(factors: DataFrame, index: DataFrame, key: str) -> DataFrame:
+        rows = factors.join(index.select(key, F.col("idx").cast("int").alias("id")), "id")
+        return rows.select(key, F.col("features").cast("array<double>").alias("vector"))
+
+    return named(model.userFactors, users, "user_id"), named(model.itemFactors, games, "game_id")
+
+
 def recommend_als(model: ALSModel, users: DataFrame, games: DataFrame, k: int) -> DataFrame:
     """Best ``k`` games per user (blocked in MLlib), as (user_id, game_id, score)."""
     ranked = model.recommendForAllUsers(k).select("u", F.inline("recommendations"))
@@ -305,89 +305,3 @@ def recommend_als(model: ALSModel, users: DataFrame, games: DataFrame, k: int) -
         .join(games.select("game_id", F.col("idx").cast("int").alias("g")), "g")
         .select("user_id", "game_id", F.col("rating").cast("double").alias("predicted_score"))
     )
-
-
-def with_negatives(
-    pairs: DataFrame, games: DataFrame, per_pair: int = 1, seed: int = K.SPLIT_SEED
-) -> DataFrame:
-    """Observed pairs with label log(1 + playtime) and hashed unplayed pairs with 0."""
-    index = index_entities(games, "game_id")
-    size = index.count()
-    draws = pairs.select(
-        "user_id", F.explode(F.sequence(F.lit(1), F.lit(per_pair))).alias("draw"), "game_id"
-    )
-    drawn = draws.select(
-        "user_id",
-        F.pmod(F.xxhash64(F.lit(seed), "user_id", "game_id", "draw"), F.lit(size)).alias("idx"),
-    ).distinct()
-    unplayed = drawn.join(index, "idx").join(
-        pairs.select("user_id", "game_id"), ["user_id", "game_id"], "left_anti"
-    )
-    positive = pairs.select("user_id", "game_id", F.log1p("weight").alias("label"))
-    return positive.unionByName(unplayed.select("user_id", "game_id", F.lit(0.0).alias("label")))
-
-
-@dataclass(frozen=True)
-class HybridModel:
-    """Factorisation machine over [user tag shares | game one-hot and tags]."""
-
-    stages: tuple
-    categories: tuple[str, ...]
-    game_index: DataFrame
-    model: FMRegressionModel
-
-    def features(self, pairs: DataFrame, shares: DataFrame, games: DataFrame) -> DataFrame:
-        return _hybrid_features(
-            pairs, shares, games, self.stages, self.categories, self.game_index
-        )
-
-    def predict(self, pairs: DataFrame, shares: DataFrame, games: DataFrame) -> DataFrame:
-        scored = self.model.transform(self.features(pairs, shares, games))
-        return scored.select("user_id", "game_id", F.col("prediction").alias("predicted_score"))
-
-
-def _hybrid_features(pairs, shares, games, stages, categories, game_index) -> DataFrame:
-    user = shares.groupBy("user_id").agg(
-        F.map_from_entries(F.collect_list(F.struct("category", "weight"))).alias("m")
-    )
-    names = F.split(F.lit("\x1f".join(categories)), "\x1f")
-    vector = array_to_vector(
-        F.transform(names, lambda c: F.coalesce(F.try_element_at("m", c), F.lit(0.0)))
-    )
-    user = user.select("user_id", vector.alias("user_vector"))
-    item = games.select("game_id", "categories").join(game_index, "game_id")
-    for step in stages:
-        item = step.transform(item)
-    item = item.select("game_id", "item_vector")
-    joined = pairs.join(item, "game_id").join(user, "user_id")
-    assembler = VectorAssembler(inputCols=["user_vector", "item_vector"], outputCol="features")
-    return assembler.transform(joined)
-
-
-def train_hybrid(
-    pairs: DataFrame,
-    shares: DataFrame,
-    games: DataFrame,
-    factors: int = 10,
-    epochs: int = K.EPOCHS,
-    seed: int = K.SPLIT_SEED,
-) -> HybridModel:
-    """Fit the feature factorisation on observed and hashed unplayed pairs."""
-    index = index_entities(games, "game_id")
-    # As many places as there are tags, so that none is left out.
-    kinds = games.select(F.explode("categories").alias("c")).distinct().count()
-    tags = CountVectorizer(inputCol="categories", outputCol="tag_counts", vocabSize=max(1, kinds)).fit(games)
-    size = index.count()
-    hot = OneHotEncoder(inputCol="idx", outputCol="identity", dropLast=False)
-    hot = hot.fit(index)
-    join = VectorAssembler(inputCols=["identity", "tag_counts"], outputCol="item_raw")
-    scale = Normalizer(p=1.0, inputCol="item_raw", outputCol="item_vector")
-    stages = (tags, hot, join, scale)
-    categories = tuple(sorted(tags.vocabulary))
-    rows = _hybrid_features(
-        with_negatives(pairs, games, seed=seed), shares, games, stages, categories, index
-    )
-    fm = FMRegressor(factorSize=factors, maxIter=epochs, stepSize=0.05, seed=seed)
-    if size == 0:
-        raise ValueError("no games to train on")
-    return HybridModel(stages, categories, index, fm.fit(rows.select("features", "label")))

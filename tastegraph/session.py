@@ -53,6 +53,18 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def free(*tables: DataFrame) -> None:
+    """Delete the folders that ``stage`` wrote for tables that nothing reads any more."""
+    for table in tables:
+        spark = table.sparkSession
+        root = shared_folder(spark).rstrip("/")
+        jvm = spark.sparkContext._jvm.org.apache.hadoop.fs
+        for name in {f.rsplit("/", 1)[0] for f in table.inputFiles()}:
+            path = jvm.Path(name)
+            if jvm.Path(root).toUri().getPath() == path.getParent().toUri().getPath():
+                path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def ship_package(spark: SparkSession) -> None:
     """Send this package to the executors, for clusters that do not have it installed."""
     context = spark.sparkContext

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tastegraph.operators import recommender
+from tastegraph.operators import blocked, hybrid, recommender
 from tastegraph.session import ship_package
 
 
@@ -53,9 +54,9 @@ def brute_force(store, k, threshold):
     return expected
 
 
-@pytest.mark.parametrize("rows", [recommender.BROADCAST_ROWS, 40, 15])
-def test_recommend_equals_brute_force(store, rows, monkeypatch):
-    best = recommender.recommend(*store, k=5, threshold=2.0, broadcast_rows=rows).collect()
+@pytest.mark.parametrize("rows", [blocked.ITEM_ROWS, 40, 15])
+def test_recommend_equals_brute_force(store, rows):
+    best = recommender.recommend(*store, k=5, threshold=2.0, item_rows=rows).collect()
     found = {(r.user_id, r.position): (r.game_id, pytest.approx(r.predicted_score)) for r in best}
     assert found == brute_force(store, 5, 2.0)
     names = {r.game_id: r.app_name for r in best}
@@ -89,16 +90,119 @@ def test_zero_playtime_gives_zero_shares(spark):
     assert recommender.user_features(profile).first().weight == 0.0
 
 
-def test_trained_models(store):
-    tags, playtimes, games, _ = store
+@pytest.mark.parametrize("scorer", ["als", "fm"])
+@pytest.mark.parametrize("rows", [blocked.ITEM_ROWS, 7])
+def test_trained_scorers_rank_unplayed_games(store, scorer, rows):
+    tags, playtimes, games, reviews = store
+    options = {"rank": 3, "max_iter": 3} if scorer == "als" else {"factors": 3, "epochs": 2}
+    best = recommender.recommend(*store, k=6, threshold=2.0, scorer=scorer, item_rows=rows, **options).collect()
+    owned = {(r.user_id, r.game_id) for r in playtimes.collect()}
+    rankable = {g.game_id for g in games.collect() if g.normalized_score > 2.0}
+    assert all((r.user_id, r.game_id) not in owned and r.normalized_score > 2.0 for r in best)
+    by_user = {}
+    for r in best:
+        by_user.setdefault(r.user_id, []).append((r.position, r.game_id, r.predicted_score))
+    assert set(by_user) == {u for u, _ in owned}
+    for user, found in by_user.items():
+        found.sort()
+        assert [p for p, *_ in found] == list(range(min(6, len(rankable - {g for u, g in owned if u == user}))))
+        assert [(-s, g) for _, g, s in found] == sorted((-s, g) for _, g, s in found)
+
+
+def test_unknown_scorer_is_refused(store):
+    with pytest.raises(ValueError, match="scorer"):
+        recommender.recommend(*store, scorer="guess")
+
+
+def test_vector_ranking_equals_brute_force(spark, monkeypatch):
+    """Ties, owned games, users and games without vectors, blocks smaller than the tables."""
+    monkeypatch.setattr(blocked, "CELLS", 50)
+    rng = np.random.default_rng(3)
+    users = {u: rng.integers(-2, 3, 4).astype(float) for u in range(23)}
+    items = {g: rng.integers(-2, 3, 4).astype(float) for g in range(0, 60, 2)}
+    owned = {(int(u), int(g)) for u, g in rng.integers(0, 61, (300, 2)) if u < 25} | {(0, g) for g in range(58)}
+    frame = lambda rows, key: spark.createDataFrame([(k, v.tolist()) for k, v in rows.items()], f"{key} long, vector array<double>")
+    games = spark.range(0, 64, 2).withColumnRenamed("id", "game_id")
+    pairs = spark.createDataFrame([*owned, *list(owned)[:5]], "user_id long, game_id long").repartition(3)
+    want = {}
+    for u in set(users) | {u for u, _ in owned}:
+        scores = [(-float(users[u] @ items[g]) if u in users and g in items else 0.0, g) for g in range(0, 64, 2) if (u, g) not in owned]
+        want[u] = sorted(scores)[:5]
+    for rows in (1000, 4):
+        got = {}
+        for r in recommender.top_vector_items(frame(users, "user_id"), frame(items, "game_id"), pairs, games, 5, rows).collect():
+            got.setdefault(r.user_id, []).append((-r.predicted_score, r.game_id))
+        assert {u: sorted(found) for u, found in got.items()} == want
+
+
+def _tastes(spark, seed=0):
+    """Users who mostly play games of hidden groups that cut across tags."""
+    rng = np.random.default_rng(seed)
+    tag_of = [f"t{g % 6}" for g in range(60)]
+    group = rng.integers(0, 4, 60)
+    plays = []
+    for user in range(120):
+        liked = np.flatnonzero(group == user % 4)
+        plays += [(user, int(g), float(rng.integers(5, 50))) for g in rng.choice(liked, 8, replace=False)]
+        plays += [(user, int(g), 1.0) for g in rng.choice(60, 1)]
+    rows = spark.createDataFrame(plays, "user_id long, game_id long, playtime_forever double")
+    rows = rows.groupBy("user_id", "game_id").agg(F.max("playtime_forever").alias("playtime_forever"))
+    games = spark.createDataFrame([(g, [tag_of[g]], 10.0, 1.0) for g in range(60)], "game_id long, categories array<string>, normalized_score double, score double")
+    return rows, games, group
+
+
+@pytest.mark.parametrize("entities", [1 << 17, 40])
+def test_hybrid_beats_content_on_held_out_pairs(spark, entities):
+    """In one block and in several, which train side by side round after round."""
+    rows, games, group = _tastes(spark)
+    held = F.pmod(F.xxhash64("user_id", "game_id"), F.lit(5)) == 0
+    known, hidden = rows.where(~held), rows.where(held & (F.col("playtime_forever") > 1))
+    pairs = recommender.interactions(known, games)
+    shares = recommender.user_features(recommender.user_category_profile(games.select("game_id", "categories"), known))
+    model = recommender.train_hybrid(pairs, shares, games, factors=6, epochs=4, block_entities=entities)
+    open_pairs = spark.createDataFrame([(u, g) for u in range(120) for g in range(60)], "user_id long, game_id long")
+    open_pairs = open_pairs.join(known, ["user_id", "game_id"], "left_anti")
+    good = {(r.user_id, r.game_id) for r in hidden.collect()}
+
+    def auc(scores):
+        ranked = sorted((r.predicted_score, (r.user_id, r.game_id) in good) for r in scores.collect())
+        places = [i for i, (_, hit) in enumerate(ranked) if hit]
+        return (sum(places) - len(places) * (len(places) - 1) / 2) / (len(places) * (len(ranked) - len(places)))
+
+    ours, content = auc(model.predict(open_pairs)), auc(recommender.content_scores(open_pairs, shares, games))
+    assert ours > 0.8 and ours > content + 0.1
+
+
+def test_chunk_steps_go_down_the_gradient():
+    """The loss of the chunk falls, own and tag vectors both move."""
+    rng = np.random.default_rng(4)
+    side = lambda n: hybrid.Side(np.arange(n), [rng.integers(0, 5, 2) for _ in range(n)], [rng.random(2) for _ in range(n)], [None] * n, 4, 1)
+    users, games = side(20), side(15)
+    tags = tuple(hybrid.Tags(rng.normal(0, 0.1, (5, 4)), np.zeros((5, 4))) for _ in range(2))
+    user, game = rng.integers(0, 20, 400), rng.integers(0, 15, 400)
+    label, weight = (user % 3 == game % 3).astype(float), rng.random(400) * 2
+
+    def loss():
+        u, g = users.vectors(user, tags[0].values), games.vectors(game, tags[1].values)
+        score = (u[:, :-1] * g[:, :-1]).sum(axis=1) + u[:, -1] + g[:, -1]
+        return float((weight * (np.logaddexp(0, score) - label * score)).sum())
+
+    before, old = loss(), (users.own.copy(), tags[0].values.copy())
+    hybrid.train_chunk(users, games, tags, (user, game, label, weight), 40, 0.1)
+    assert loss() < before / 2 and not np.allclose(users.own, old[0]) and not np.allclose(tags[0].values, old[1])
+
+
+def test_samples_weigh_playtime_and_avoid_played_pairs(store):
+    _, playtimes, games, _ = store
     pairs = recommender.interactions(playtimes, games)
-    model, users, items = recommender.train_als(pairs, rank=3, max_iter=3)
+    samples = hybrid.weighted_samples(pairs, games)
+    assert samples.where("label = 0").join(pairs, ["user_id", "game_id"], "left_semi").isEmpty()
+    positive = samples.where("label = 1").agg(F.avg("weight"), F.count("*")).first()
+    assert positive[0] == pytest.approx(1.0) and positive[1] == pairs.count()
+
+
+def test_als_gives_k_games_per_user(store):
+    _, playtimes, games, _ = store
+    model, users, items = recommender.train_als(recommender.interactions(playtimes, games), rank=3, max_iter=3)
     ranked = recommender.recommend_als(model, users, items, 4)
     assert ranked.groupBy("user_id").count().filter("count != 4").isEmpty()
-    negatives = recommender.with_negatives(pairs, games).filter("label = 0")
-    assert negatives.join(pairs, ["user_id", "game_id"], "left_semi").isEmpty()
-    shares = recommender.user_features(recommender.user_category_profile(tags, playtimes))
-    hybrid = recommender.train_hybrid(pairs, shares, games, factors=2, epochs=40)
-    observed = hybrid.predict(pairs, shares, games).agg(F.avg("predicted_score")).first()[0]
-    unplayed = hybrid.predict(negatives.select("user_id", "game_id"), shares, games)
-    assert observed > unplayed.agg(F.avg("predicted_score")).first()[0]
