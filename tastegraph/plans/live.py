@@ -13,6 +13,7 @@ from tastegraph.operators.nested import collect_tags
 from tastegraph.operators.recommender import recommend
 from tastegraph.operators.scoring import game_features
 from tastegraph.plans.scoring import convert_reviews, fit_scorer, score_games
+from tastegraph.schemas import PLACE
 from tastegraph.sources.batch import materialize_if_absent, path_exists
 from tastegraph.streaming import ingest
 
@@ -32,8 +33,8 @@ def drain_topics(
     """Drain the three message streams below ``root``; None until all hold rows."""
     flows = {
         "reviews": ingest.stream_reviews(reviews),
-        "tags": ingest.stream_game_tags(tags, ["offset"]),
-        "playtimes": ingest.stream_user_games(users, ["offset"], position=True),
+        "tags": ingest.stream_game_tags(tags, PLACE),
+        "playtimes": ingest.stream_user_games(users, PLACE, position=True),
     }
     tables = {}
     for name, rows in flows.items():
@@ -64,9 +65,9 @@ def live_reviews(rows: DataFrame) -> DataFrame:
 
 
 def live_tags(rows: DataFrame) -> DataFrame:
-    """One ordered tag list per game; a tag sent twice for a game counts once."""
+    """One list per game in the order tags first came; a tag sent twice counts once."""
     ids = cast_key(rows, "app_id").filter(F.col("app_id").isNotNull())
-    cells = ids.groupBy("app_id", "category").agg(F.min("offset").alias("pos"))
+    cells = ids.groupBy("app_id", "category").agg(F.min(F.struct(*PLACE)).alias("pos"))
     return collect_tags(cells).withColumnRenamed("app_id", "game_id")
 
 
@@ -74,7 +75,7 @@ def live_playtimes(rows: DataFrame) -> DataFrame:
     """Latest playtime per user and game."""
     ids = cast_key(cast_key(rows, "app_id"), "user_id").na.drop("any", subset=["app_id", "user_id"])
     latest = ids.groupBy("user_id", F.col("app_id").alias("game_id"))
-    newest = F.struct("offset", "pos")
+    newest = F.struct(*PLACE, "pos")
     return latest.agg(F.max_by("playtime_forever", newest).alias("playtime_forever"))
 
 

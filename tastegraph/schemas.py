@@ -72,6 +72,10 @@ TOPIC_RECORD = T.StructType(
     [
         T.StructField("value", T.StringType()),
         T.StructField("topic", T.StringType()),
+        T.StructField("partition", T.IntegerType()),
         T.StructField("offset", T.LongType()),
+        T.StructField("timestamp", T.TimestampType()),
     ]
 )
+# Where a message stood. Offsets count within a partition, so time comes first.
+PLACE = ("timestamp", "partition", "offset")
