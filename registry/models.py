@@ -15,7 +15,6 @@ from tastegraph.operators import (
     evaluation,
     features,
     scoring,
-    trees,
 )
 from tastegraph.plans import scoring as plan
 from tastegraph.session import fresh_path, stage
@@ -81,12 +80,47 @@ def sgd_modified_huber(spark, sf):
 
 
 def decision_tree(spark, sf):
-    converted = trees.with_terms(_converted(spark, sf))
-    train, test = features.train_test_split(converted)
-    vocabulary = features.fit_vocabulary(train, "review_id", max_features=K.COMPARISON_VOCABULARY)
-    model = trees.fit_decision_tree(train, vocabulary)
-    predicted = trees.predict_tree(test, model)
-    return predicted.select("review_id", F.col("review_score").alias("label"), "prediction")
+    return _evaluated(spark, sf, ["tree"]).select("review_id", "label", "p_positive", "prediction")
+
+
+def model_comparison_all(spark, sf):
+    """Metrics of all five models."""
+    return evaluation.model_comparison(_evaluated(spark, sf, plan.ALL_KINDS))
+
+
+def sort_models_all(spark, sf):
+    return _ranked(evaluation.classification_metrics(_evaluated(spark, sf, plan.ALL_KINDS), by="model"))
+
+
+def compared_rows(spark, sf):
+    """Which model is compared on how many rows of each class; the metrics are not SQL's."""
+    predicted = _evaluated(spark, sf, plan.ALL_KINDS)
+    valid = (F.col("p_positive") >= 0) & (F.col("p_positive") <= 1) & F.col("prediction").isin(-1, 1)
+    return predicted.groupBy("model", "label").agg(F.count("*").alias("n"), F.sum(valid.cast("long")).alias("valid"))
+
+
+def labelled_benchmark_all(spark, sf):
+    return evaluation.labelled_benchmark(_evaluated(spark, sf, plan.ALL_KINDS))
+
+
+def _benchmark(spark, sf):
+    """Raw texts with labels, run through a scorer that was saved and loaded again."""
+    converted = _converted(spark, sf)
+    vocabulary, model = plan.fit_scorer(converted, "multinomial_nb")
+    path = fresh_path(spark, "scorer")
+    plan.save_scorer(spark, vocabulary, model, path)
+    texts = cleaning.distinct_reviews(table(spark, sf, "reviews"))
+    texts = texts.select("review_id", F.col("review_text").alias("text"), F.col("review_score").alias("expected"))
+    vocabulary, model = plan.load_scorer(spark.newSession(), path)
+    return plan.benchmark_texts(texts, vocabulary, [model], stem=False, keep=["review_id", "text"])
+
+
+def benchmark_texts(spark, sf):
+    return evaluation.labelled_benchmark(_benchmark(spark, sf))
+
+
+def benchmark_text_misses(spark, sf):
+    return evaluation.benchmark_misses(_benchmark(spark, sf)).select("model", "review_id", "label", "text")
 
 
 def predict_label(spark, sf):
@@ -154,14 +188,17 @@ def model_comparison(spark, sf):
     return evaluation.model_comparison(_evaluated(spark, sf, BAYES))
 
 
-def sort_models(spark, sf):
+def _ranked(metrics):
     """Position of every model by F1; the window sees one row per model."""
-    metrics = evaluation.classification_metrics(_evaluated(spark, sf, BAYES), by="model")
     by_f1 = Window.partitionBy().orderBy(F.desc("f1"), "model")
     position = (F.row_number().over(by_f1) - 1).cast("long").alias("position")
     return evaluation.sort_models(metrics).select("model", position)
 
 
+def sort_models(spark, sf):
+    return _ranked(evaluation.classification_metrics(_evaluated(spark, sf, BAYES), by="model"))
+
+
 def labelled_benchmark(spark, sf):
     return evaluation.labelled_benchmark(_evaluated(spark, sf, BAYES))
 
@@ -256,6 +293,35 @@ QUERIES = {
     "sgd_modified_huber": (sgd_modified_huber, None),
     **{f"nb_{KINDS[kind]}": (_bayes(kind), _bayes_sql(kind)) for kind in BAYES},
     "decision_tree": (decision_tree, None),
+    "model_comparison_all": (model_comparison_all, None),
+    "sort_models_all": (sort_models_all, None),
+    "labelled_benchmark_all": (labelled_benchmark_all, None),
+    "compared_rows": (
+        compared_rows,
+        with_inputs(
+            "SELECT m.model, p.review_score AS label, COUNT(*) AS n, COUNT(*) AS valid FROM parts p "
+            "CROSS JOIN (SELECT unnest(['multinomial_nb', 'bernoulli_nb', 'gaussian_nb', 'sgd', 'tree']) AS model) m "
+            "WHERE p.in_test GROUP BY m.model, p.review_score",
+            **CHAIN,
+        ),
+    ),
+    "benchmark_texts": (
+        benchmark_texts,
+        with_inputs(
+            "SELECT 'multinomial_nb' AS model, CAST(SUM(CASE WHEN label = prediction THEN 1 ELSE 0 END) AS BIGINT) AS hits, "
+            f"COUNT(*) AS n FROM (SELECT label, {CLASS} AS prediction FROM multinomial_p)",
+            **SCORER_CHAIN,
+        ),
+    ),
+    "benchmark_text_misses": (
+        benchmark_text_misses,
+        with_inputs(
+            "SELECT 'multinomial_nb' AS model, p.review_id, p.label, r.review_text AS text "
+            f"FROM (SELECT review_id, label, {CLASS} AS prediction FROM multinomial_p) p "
+            "JOIN reviews r ON p.review_id = r.review_id WHERE p.label <> p.prediction",
+            **SCORER_CHAIN,
+        ),
+    ),
     "predict_label": (
         predict_label,
         with_inputs("SELECT review_id, model, label, prediction FROM predicted", **PREDICTED),

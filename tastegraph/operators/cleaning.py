@@ -26,9 +26,26 @@ def drop_null_rows(df: DataFrame, subset: Sequence[str] | None = None) -> DataFr
     return df.na.drop("any", subset=list(subset) if subset else None)
 
 
+def split_by_repeats(df: DataFrame, columns: Sequence[str], digest: str = "__digest") -> tuple[DataFrame, DataFrame]:
+    """(alone, repeated): rows whose digest no other row has, and the rest, dealt by digest.
+
+    Only digests are counted through a shuffle. Rows that are alone stay where they are if
+    the repeated digests are few enough to be sent round, which adaptive execution decides
+    by their size; of the others each group of copies meets in the task of its digest. Two
+    different rows with one digest end up among the repeated ones, where whole rows are
+    compared, so the split is exact whatever the digests.
+    """
+    keyed = df.withColumn(digest, F.xxhash64(*columns))
+    counts = keyed.groupBy(digest).agg(F.count(F.lit(1)).alias("n"))
+    repeated = counts.where("n > 1").select(digest)
+    alone = keyed.join(repeated, digest, "left_anti").drop(digest)
+    return alone, keyed.join(repeated, digest, "left_semi").repartition(digest)
+
+
 def drop_duplicate_rows(df: DataFrame) -> DataFrame:
-    """Whole-row distinct; copies collapse on the map side before the shuffle."""
-    return df.dropDuplicates()
+    """Whole-row distinct; digests find the rows that have copies, and only those meet."""
+    alone, repeated = split_by_repeats(df, df.columns)
+    return alone.unionByName(repeated.dropDuplicates().drop("__digest"))
 
 
 def row_digest(columns: Sequence[str]) -> Column:
@@ -96,5 +113,7 @@ def distinct_reviews(
     df: DataFrame, key: str = "review_id", subset: Sequence[str] = (*REVIEW_COLUMNS, "review_votes")
 ) -> DataFrame:
     """Reviews without nulls and repeats, each under the lowest id of its copies."""
-    kept = drop_null_rows(df, subset)
-    return kept.groupBy(*subset).agg(F.min(key).alias(key)).select(key, *subset)
+    kept = drop_null_rows(df, subset).select(key, *subset)
+    alone, repeated = split_by_repeats(kept, subset)
+    firsts = repeated.groupBy("__digest", *subset).agg(F.min(key).alias(key))
+    return alone.unionByName(firsts.select(key, *subset))

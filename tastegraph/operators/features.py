@@ -11,7 +11,7 @@ import pyarrow.compute as pc
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normalizer
 from pyspark.ml.linalg import Vectors
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType
 
@@ -35,6 +35,15 @@ class Vocabulary:
         rows = [(t, i, w) for i, (t, w) in enumerate(zip(self.terms, self.idf))]
         return df.sparkSession.createDataFrame(rows, "term string, idx int, idf double")
 
+    def write(self, spark: SparkSession, path: str) -> None:
+        """Save as a table with a row per term."""
+        self.table(spark.range(0)).coalesce(1).write.mode("overwrite").parquet(path)
+
+    @staticmethod
+    def read(spark: SparkSession, path: str) -> "Vocabulary":
+        rows = sorted(spark.read.parquet(path).collect(), key=lambda r: r["idx"])
+        return Vocabulary(tuple(r["term"] for r in rows), tuple(r["idf"] for r in rows))
+
 
 def term_counts(docs: DataFrame, key: str, converted: str = "converted_text") -> DataFrame:
     """(key, term, n) in long form; counting happens inside each row, unshuffled."""

@@ -103,14 +103,21 @@ def describe_numeric(
 
 
 def describe_object(df: DataFrame, column: str) -> DataFrame:
-    """count, unique, top and its frequency; ties go to the smallest value."""
-    counts = df.filter(F.col(column).isNotNull()).groupBy(column)
-    counts = counts.agg(F.count(F.lit(1)).alias("n"))
-    return counts.agg(
-        F.sum("n").alias("n"),
-        F.count(F.lit(1)).alias("n_unique"),
-        F.min_by(F.col(column), F.struct(-F.col("n"), F.col(column))).alias("top"),
-        F.max("n").alias("freq"),
+    """count, unique, top and its frequency; ties go to the smallest value.
+
+    Values are counted by 256-bit digests; only those that tie for the top are looked at.
+    """
+    rows = df.filter(F.col(column).isNotNull()).select(column, F.sha2(column, 256).alias("__digest"))
+    counts = rows.groupBy("__digest").agg(F.count(F.lit(1)).alias("n"))
+    sums = counts.agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("n_unique"), F.max("n").alias("freq"))
+    found = sums.first()
+    # If no value repeats, all tie and none has to be met again.
+    ties = rows if found["freq"] == 1 else rows.join(counts.where(F.col("n") == F.lit(found["freq"])), "__digest", "left_semi")
+    return ties.agg(
+        F.lit(found["n"]).cast("long").alias("n"),
+        F.lit(found["n_unique"]).cast("long").alias("n_unique"),
+        F.min(column).alias("top"),
+        F.lit(found["freq"]).cast("long").alias("freq"),
     )
 
 

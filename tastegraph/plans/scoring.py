@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tastegraph import constants as K
@@ -13,8 +13,10 @@ from tastegraph.functions.scoring import signed_confidence
 from tastegraph.operators.classifiers import (
     TermClassifier,
     fit_naive_bayes,
+    load_classifier,
     predict,
     predict_all,
+    save_classifier,
 )
 from tastegraph.operators.cleaning import distinct_reviews
 from tastegraph.operators.evaluation import model_comparison
@@ -26,6 +28,10 @@ from tastegraph.operators.features import (
 )
 from tastegraph.operators.linear import fit_modified_huber
 from tastegraph.operators.scoring import game_score, weigh_reviews
+from tastegraph.operators.trees import TreeClassifier, fit_tree_classifier
+
+#: The models that are compared: three naive Bayes variants, the linear one, the tree.
+ALL_KINDS = ("multinomial_nb", "bernoulli_nb", "gaussian_nb", "sgd", "tree")
 
 
 def convert_reviews(reviews: DataFrame, stem: bool = True) -> DataFrame:
@@ -48,13 +54,18 @@ def convert_reviews(reviews: DataFrame, stem: bool = True) -> DataFrame:
 
 def fit_classifiers(
     train: DataFrame, vocabulary: Vocabulary, kinds: Sequence[str], key: str = "review_id", **sgd
-) -> list[TermClassifier]:
-    """Fit the named classifiers on TF-IDF arrays; ``sgd`` options go to that one."""
+) -> list[TermClassifier | TreeClassifier]:
+    """Fit the named classifiers on TF-IDF arrays; ``sgd`` options go to that one.
+
+    The tree reads the converted texts of the same rows.
+    """
     size = len(vocabulary.terms)
-    bayes = [kind for kind in kinds if kind != "sgd"]
+    bayes = [kind for kind in kinds if kind not in ("sgd", "tree")]
     models = fit_naive_bayes(train, size, bayes) if bayes else []
     if "sgd" in kinds:
         models.append(fit_modified_huber(train, size, key=key, **sgd))
+    if "tree" in kinds:
+        models.append(fit_tree_classifier(train, vocabulary))
     return models
 
 
@@ -118,3 +129,36 @@ def evaluate_models(
 
 def compare_models(converted: DataFrame, kinds: Sequence[str], **options) -> DataFrame:
     return model_comparison(evaluate_models(converted, kinds, **options))
+
+
+def benchmark_texts(
+    texts: DataFrame,
+    vocabulary: Vocabulary,
+    models: Sequence[TermClassifier | TreeClassifier],
+    text: str = "text",
+    expected: str = "expected",
+    stem: bool = True,
+    keep: Sequence[str] = (),
+) -> DataFrame:
+    """Predictions (model, label, p_positive, prediction) for raw texts with known labels.
+
+    Texts are converted like reviews and scored by all models in one pass. Rows without a
+    label or with another one than -1 and 1 are left out; a missing text is scored as empty.
+    """
+    known = texts.where(F.col(expected).isin(-1, 1)).withColumn("label", F.col(expected).cast("int"))
+    converted = known.withColumn("converted_text", X.convert_text(F.coalesce(F.col(text), F.lit("")), stem))
+    return predict_all(with_tfidf(converted, vocabulary), models, [*keep, "label"])
+
+
+def save_scorer(spark: SparkSession, vocabulary: Vocabulary, model: TermClassifier, path: str) -> None:
+    """Vectoriser and classifier in one folder."""
+    vocabulary.write(spark, f"{path}/vocabulary")
+    save_classifier(spark, model, f"{path}/classifier")
+
+
+def load_scorer(spark: SparkSession, path: str) -> tuple[Vocabulary, TermClassifier]:
+    """What ``save_scorer`` wrote, in any session; raises if the two do not fit each other."""
+    vocabulary, model = Vocabulary.read(spark, f"{path}/vocabulary"), load_classifier(spark, f"{path}/classifier")
+    if len(vocabulary.terms) != len(model.linear):
+        raise ValueError(f"{len(model.linear)} weights for {len(vocabulary.terms)} terms below {path}")
+    return vocabulary, model

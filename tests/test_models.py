@@ -78,7 +78,7 @@ def test_long_and_sparse_forms_agree(docs):
     assert {r.term for r in counts.select("term").distinct().collect()} == set(vocabulary.terms)
 
 
-@pytest.mark.parametrize("kind", ["multinomial_nb", "bernoulli_nb", "gaussian_nb", "sgd"])
+@pytest.mark.parametrize("kind", ["multinomial_nb", "bernoulli_nb", "gaussian_nb", "sgd", "tree"])
 def test_classifiers_separate(docs, kind):
     predicted = plan.evaluate_models(docs, [kind], max_features=50)
     scored = evaluation.classification_metrics(predicted).first()
@@ -113,6 +113,44 @@ def test_tree_and_model_files(spark, docs, tmp_path):
         assert classifiers.load_classifier(spark, str(tmp_path / fitted.name)) == fitted
 
 
+def test_flat_tree_predicts_like_the_grown_one(spark, docs):
+    """Row by row the same class and probability as MLlib gives, on noisy labels and a deep tree."""
+    noisy = docs.withColumn("review_score", F.when(F.col("review_id") % 5 == 0, -F.col("review_score")).otherwise(F.col("review_score")))
+    noisy = noisy.withColumn("converted_text", F.concat_ws(" ", "converted_text", F.expr("concat('k', (review_id * 7) % 11)")))
+    vocabulary = features.fit_vocabulary(noisy, "review_id", max_features=60)
+    grown = trees.fit_decision_tree(trees.with_terms(noisy), vocabulary)
+    flat = trees.flatten_tree(grown.stages[-1])
+    assert flat.depth >= 4 and len(flat.feature) == grown.stages[-1].numNodes
+    theirs = trees.predict_tree(trees.with_terms(noisy), grown)
+    theirs = {r.review_id: (r.prediction, r.p[1]) for r in theirs.select("review_id", "prediction", vector_to_array("probability").alias("p")).collect()}
+    ours = classifiers.predict(features.with_tfidf(noisy, vocabulary), flat).collect()
+    assert {r.review_id: (r.prediction, pytest.approx(r.p_positive)) for r in ours} == theirs
+
+
+def test_scorer_files_serve_another_session(spark, docs, tmp_path):
+    vocabulary, model = plan.fit_scorer(docs, "sgd", max_features=50)
+    plan.save_scorer(spark, vocabulary, model, str(tmp_path / "scorer"))
+    assert plan.load_scorer(spark.newSession(), str(tmp_path / "scorer")) == (vocabulary, model)
+    smaller = features.Vocabulary(vocabulary.terms[:-1], vocabulary.idf[:-1])
+    smaller.write(spark, str(tmp_path / "scorer" / "vocabulary"))
+    with pytest.raises(ValueError, match="terms"):
+        plan.load_scorer(spark, str(tmp_path / "scorer"))
+
+
+def test_benchmark_of_labelled_texts(spark, docs):
+    vocabulary = features.fit_vocabulary(docs, "review_id", max_features=50)
+    models = plan.fit_classifiers(features.with_tfidf(docs, vocabulary), vocabulary, plan.ALL_KINDS)
+    texts = spark.createDataFrame(
+        [("Great fun, I loved it!", 1), ("boring, awful waste", -1), ("boring and broken", 1), (None, 1), ("x", None), ("y", 3)],
+        "text string, expected int",
+    )
+    predicted = plan.benchmark_texts(texts, vocabulary, models, stem=False, keep=["text"])
+    hits = {r.model: (r.hits, r.n) for r in evaluation.labelled_benchmark(predicted).collect()}
+    assert len(hits) == 5 and all(n == 4 and 2 <= h <= 3 for h, n in hits.values())
+    misses = {r.text for r in evaluation.benchmark_misses(predicted).collect()}
+    assert "boring and broken" in misses and "Great fun, I loved it!" not in misses
+
+
 def test_sentiment_of_raw_text(spark, docs):
     vocabulary, model = plan.fit_scorer(docs, "multinomial_nb", max_features=50)
     texts = spark.createDataFrame(
