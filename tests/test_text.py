@@ -9,6 +9,7 @@ from tastegraph import constants as K
 from tastegraph.functions import text as X
 from tastegraph.functions.arrays import last_per_id, value_counts
 from tastegraph.functions.stemming import stem
+from tastegraph.operators import sentences
 
 
 def _value(spark, text, expression):
@@ -96,3 +97,44 @@ def test_array_helpers(spark):
     assert [(c["value"], c["n"]) for c in counted[0][0]] == [("a", 1), ("b", 2)]
     assert counted[0][1] == {"a": 2, "b": 3}
     assert counted[1][0] == [] and counted[1][1] == {}
+
+
+LEARNED = ("dr", "e.g", "z.b", "approx")
+
+
+@pytest.mark.parametrize(
+    ("text", "count"),
+    [
+        ("Dr. Smith came. He left.", 2),
+        ("See e.g. The Manual. It helps.", 2),
+        ("J. R. Smith won. Nobody else did!", 2),
+        ("Version 3. It is out. Costs 4.5 dollars.", 3),
+        ("It has approx. 3. of them and no. more.", 1),
+        ('He said "go." Then he left. (Really?) Yes.', 4),
+        ("no capital. so what", 1),
+        ("One. Two! Three? four", 4),
+        ("Das ist z.B. Unsinn. Ja.", 2),
+        ("", 0),
+        (" \n ", 0),
+        ("word", 1),
+        (None, None),
+    ],
+)
+def test_sentences_with_learned_abbreviations(spark, text, count):
+    expected = 0 if text is None else count
+    assert (_value(spark, text, lambda t: sentences.sentence_count(F.coalesce(t, F.lit("")), LEARNED))) == expected
+
+
+def test_abbreviations_are_learned_from_their_periods(spark):
+    """Words that nearly always carry a period, short ones first; not words that end sentences."""
+    rows = []
+    for i in range(200):
+        rows.append(("Dr. Miller saw approx. %d people today. All went on, and today they were well or not well at all. The doctor went home" % i,))
+        rows.append(("People like home. It was today, and Mr. Brown (e.g. the doctor) met people today." ,))
+    docs = spark.createDataFrame(rows, "t string")
+    found = sentences.fit_abbreviations(docs, "t")
+    assert {"dr", "mr", "e.g"} <= set(found)
+    assert not {"today", "all", "home", "people", "well"} & set(found)
+    count = docs.select(sentences.sentence_count(F.col("t"), found).alias("n")).agg(F.min("n"), F.max("n")).first()
+    assert tuple(count) == (2, 3)
+    assert sentences.fit_abbreviations(docs.limit(0), "t") == ()
