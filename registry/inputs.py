@@ -148,6 +148,11 @@ def with_inputs(body: str, **extra: str) -> str:
     return f"WITH {tables} {body}"
 
 
+def materialized(sql: str) -> str:
+    """The same for DuckDB with every table of the WITH list computed once."""
+    return re.sub(r"\b(\w+) AS \((?=\s*(?:SELECT|WITH))", r"\1 AS MATERIALIZED (", sql)
+
+
 def given(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A given table; how it is split is up to ``spark.sql.files.maxPartitionBytes``."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

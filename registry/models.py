@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from registry import sqltext as Q
-from registry.inputs import rounded, table, tag_lists, with_inputs
+from registry.inputs import materialized, rounded, table, tag_lists, with_inputs
 from tastegraph import constants as K
 from tastegraph.functions import scoring as S
 from tastegraph.operators import (
@@ -281,9 +281,11 @@ QUERIES = {
     ),
     "count_features": (
         count_features,
-        with_inputs(
-            "SELECT t.review_id, t.term, t.n FROM term_counts t JOIN vocab v ON t.term = v.term",
-            **Q.chain(K.COUNT_VOCABULARY, train_only=False),
+        materialized(
+            with_inputs(
+                "SELECT t.review_id, t.term, t.n FROM term_counts t JOIN vocab v ON t.term = v.term",
+                **Q.chain(K.COUNT_VOCABULARY, train_only=False),
+            )
         ),
     ),
     "train_test_split": (

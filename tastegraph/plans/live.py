@@ -91,7 +91,7 @@ def stream_to_recommendations(
     """Classify, score, normalise and recommend over one snapshot of the tables."""
     spark = tables.reviews.sparkSession
     converted = materialize_if_absent(
-        spark, f"{root}/converted", lambda: convert_reviews(tables.reviews, stem)
+        spark, f"{root}/converted", lambda: convert_reviews(tables.reviews, stem), [tables.reviews]
     )
     vocabulary, model = fit_scorer(converted, kind, max_features)
     games = materialize_if_absent(
@@ -100,5 +100,6 @@ def stream_to_recommendations(
         lambda: game_features(
             score_games(converted, vocabulary, model), tables.reviews, tables.tags
         ),
+        [tables.reviews, tables.tags],
     )
     return recommend(tables.tags, tables.playtimes, games, tables.reviews, k, threshold)
