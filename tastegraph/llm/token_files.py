@@ -30,27 +30,17 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tastegraph.llm.common import stage, text_key
+from tastegraph.llm.words import SPACE, Block
 
 MAGIC = b"RPG1"
 BLOCK_IDS = 1 << 20
 #: Rounds of replacement; each round replaces all pairs found often, so rules are this deep.
 ROUNDS = 4
 LEAST_COUNT = 6
-#: Words whose ids a worker remembers at most; then it starts anew.
+#: Words whose ids a worker remembers at most, about 40 bytes each; then it starts anew.
 REMEMBERED = 1_500_000
-_PIECE = 1 << 22
-
-
-class _Table(dict):
-    """Word to its number; new words are listed in ``fresh``."""
-
-    def __init__(self):
-        self.fresh = []
-
-    def __missing__(self, word):
-        number = self[word] = len(self)
-        self.fresh.append(word)
-        return number
+#: Bytes of texts that are split into words at once, and fresh words that are encoded in one text.
+_PIECE, _TOGETHER = 1 << 22, 256
 
 
 class WordEncoder:
@@ -59,6 +49,7 @@ class WordEncoder:
     The tokenizer must not carry anything over ASCII white space: its split drops white
     space and its normalizer works within words. Then a text's ids are those of its words
     one after another. Special strings have no white space, so they stay within a word.
+    Words are known by 64-bit hashes, in sorted arrays.
     """
 
     def __init__(self, path: str):
@@ -70,65 +61,93 @@ class WordEncoder:
         self._forget()
 
     def _forget(self):
-        self.table = _Table()
-        self.lengths = np.zeros(1 << 16, np.int64)
-        self.starts = np.zeros(1 << 16, np.int64)
-        self.pool = np.zeros(1 << 18, np.uint32)
-        self.filled = 0
-
-    def _learn(self, first: int):
-        fresh, self.table.fresh = self.table.fresh, []
-        found = self.tokenizer.encode_batch_fast([w.decode() for w in fresh], add_special_tokens=False)
-        ids = [e.ids for e in found]
-        count = np.fromiter(map(len, ids), np.int64, len(ids))
-        flat = np.fromiter((i for e in ids for i in e), np.uint32, int(count.sum()))
-        last = first + len(ids)
-        if last > len(self.lengths):
-            more = max(last, 2 * len(self.lengths))
-            self.lengths, self.starts = np.resize(self.lengths, more), np.resize(self.starts, more)
+        self.known = np.zeros(0, np.uint64)
+        self.starts, self.lengths = np.zeros(0, np.int64), np.zeros(0, np.int32)
+        self.pool, self.filled = np.zeros(1 << 18, np.uint32), 0
+
+    def _encoded(self, fresh: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of each word, one after another; number of ids of each word).
+
+        Many words go through the library as one text, a line each; where a token begins in
+        it tells the word.
+        """
+        flat, counts = [], []
+        groups = [fresh[i : i + _TOGETHER] for i in range(0, len(fresh), _TOGETHER)]
+        found = self.tokenizer.encode_batch(["\n".join(g) for g in groups], add_special_tokens=False)
+        for group, one in zip(groups, found):
+            begin = np.cumsum([0, *(len(w) + 1 for w in group[:-1])])
+            places = np.fromiter((a for a, _ in one.offsets), np.int64, len(one))
+            counts.append(np.bincount(np.searchsorted(begin, places, "right") - 1, minlength=len(group)))
+            flat.append(np.array(one.ids, np.uint32))
+        return np.concatenate(flat), np.concatenate(counts)
+
+    def _learn(self, hashes: np.ndarray, fresh: list[str]):
+        """Remember words by their hashes, which come in order."""
+        flat, count = self._encoded(fresh)
         if self.filled + len(flat) > len(self.pool):
             self.pool = np.resize(self.pool, max(self.filled + len(flat), 2 * len(self.pool)))
-        self.lengths[first:last] = count
-        self.starts[first:last] = self.filled + np.cumsum(count) - count
         self.pool[self.filled : self.filled + len(flat)] = flat
+        place = np.searchsorted(self.known, hashes)
+        self.starts = np.insert(self.starts, place, self.filled + np.cumsum(count) - count)
+        self.lengths = np.insert(self.lengths, place, count)
+        self.known = np.insert(self.known, place, hashes)
         self.filled += len(flat)
 
-    def words(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    def words(self, block: Block) -> tuple[np.ndarray, np.ndarray]:
         """(ids of each word, one after another; number of ids of each word)."""
-        if len(self.table) > REMEMBERED:
+        if len(self.known) > REMEMBERED:
             self._forget()
-        first = len(self.table)
-        number = np.fromiter(map(self.table.__getitem__, words), np.int64, len(words))
-        if self.table.fresh:
-            self._learn(first)
-        length = self.lengths[number]
+        hashes, first, number = np.unique(block.hashes(), return_index=True, return_inverse=True)
+        at = np.searchsorted(self.known, hashes)
+        new = np.ones(len(hashes), bool)
+        inside = at < len(self.known)
+        new[inside] = self.known[at[inside]] != hashes[inside]
+        if new.any():
+            data, begin, end = block.data, block.begin[first[new]].tolist(), block.end[first[new]].tolist()
+            self._learn(hashes[new], [data[a:b].tobytes().decode() for a, b in zip(begin, end)])
+            at = np.searchsorted(self.known, hashes)
+        length = self.lengths[at][number].astype(np.int64)
         before = np.cumsum(length) - length
-        place = np.repeat(self.starts[number] - before, length)
+        place = np.repeat(self.starts[at][number] - before, length)
         place += np.arange(len(place))
         return self.pool[place], length
 
-    def text(self, text: bytes) -> np.ndarray:
-        parts, low = [], 0
-        while low < len(text):
-            high = low + _PIECE
-            while high < len(text) and text[high] not in b" \t\n\r\x0b\x0c":
-                high += 1
-            parts.append(self.words(text[low:high].split())[0])
-            low = high
-        return np.concatenate(parts) if parts else np.zeros(0, np.uint32)
+    def _pieces(self, texts):
+        """(text numbers, block) of up to _PIECE bytes; longer texts are cut at white space."""
+        held, rows, size = [], [], 0
+
+        def block():
+            edges = np.cumsum([0, *map(len, held)])
+            return np.array(rows), Block(0, np.frombuffer(b"".join(held), np.uint8), edges)
+
+        for row, text in enumerate(texts):
+            text = _lowered(text) if self.lowers else text
+            low = 0
+            while len(text) - low > _PIECE:
+                high = low + _PIECE
+                while high < len(text) and not SPACE[text[high]]:
+                    high += 1
+                yield np.array([row]), Block(0, np.frombuffer(text, np.uint8)[low:high], np.array([0, high - low]))
+                low = high
+            held.append(text[low:] if low else text)
+            rows.append(row)
+            size += len(held[-1])
+            if size >= _PIECE:
+                yield block()
+                held, rows, size = [], [], 0
+        if held:
+            yield block()
 
     def texts(self, texts: list[bytes], end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, each followed by ``end_id``; number of ids of each text)."""
-        texts = [_lowered(t) if self.lowers else t for t in texts]
-        if sum(map(len, texts)) > _PIECE:
-            whole = [np.append(self.text(t), np.uint32(end_id)) for t in texts]
-            return np.concatenate(whole), np.fromiter(map(len, whole), np.int64, len(whole))
-        split = [t.split() for t in texts]
-        ids, length = self.words([w for s in split for w in s])
-        bounds = np.cumsum([0, *map(len, split)])
-        total = np.concatenate([[0], np.cumsum(length)])[bounds]
-        ids = np.insert(ids, total[1:], np.uint32(end_id))
-        return ids, np.diff(total) + 1
+        flat, counts = [np.zeros(0, np.uint32)], np.zeros(len(texts), np.int64)
+        for rows, block in self._pieces(texts):
+            ids, length = self.words(block)
+            flat.append(ids)
+            total = np.concatenate([[0], np.cumsum(length)])
+            counts[rows] += total[block.first + block.count] - total[block.first]
+        ids = np.insert(np.concatenate(flat), np.cumsum(counts), np.uint32(end_id))
+        return ids, counts + 1
 
 
 def _lowered(text: bytes) -> bytes:
@@ -293,14 +312,15 @@ def write_files(
             return pa.RecordBatch.from_arrays([pa.array([record], pa.binary())], ["value"])
 
         for batch in batches:
-            texts = batch.column(1).cast(pa.binary()).to_pylist()
+            column = batch.column(1).cast(pa.large_binary())
             names, low = batch.column(0).to_pylist(), 0
-            while low < len(texts):
-                high, size = low, 0
-                while high < len(texts) and size < 1 << 20:
-                    size += len(texts[high])
+            while low < len(names):
+                high, size, texts = low, 0, []
+                while high < len(names) and size < 1 << 21:
+                    texts.append(column[high].as_py())
+                    size += len(texts[-1])
                     high += 1
-                ids, lengths = encode.texts(texts[low:high], end_id)
+                ids, lengths = encode.texts(texts, end_id)
                 held_ids.append(ids), held_lengths.append(lengths), held_docs.extend(names[low:high])
                 held += len(ids)
                 low = high
