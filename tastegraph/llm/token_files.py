@@ -34,9 +34,9 @@ from tastegraph.llm.words import SPACE, Block
 
 MAGIC = b"RPG1"
 BLOCK_IDS = 1 << 20
-#: Rounds of replacement; each round replaces all pairs found often, so rules are this deep.
-ROUNDS = 4
-LEAST_COUNT = 6
+#: Occurrences from which a pair gets a rule, and the part of a sequence that a round must save.
+LEAST_COUNT, LEAST_GAIN = 6, 200
+SLOT_BITS = 20
 #: Words whose ids a worker remembers at most, about 40 bytes each; then it starts anew.
 REMEMBERED = 1_500_000
 #: Bytes of texts that are split into words at once, and fresh words that are encoded in one text.
@@ -169,40 +169,51 @@ def encoder(path: str) -> WordEncoder:
     return _encoders[path]
 
 
+def frequent_pairs(pair: np.ndarray, least: int) -> tuple[np.ndarray, ...]:
+    """(places, pairs, counts, pair's number per place) of the pairs that are there ``least`` times.
+
+    Counts per slot of a hash bound the pairs' own counts from above, so only places whose
+    slot is full enough are sorted, and the counts found are exact.
+    """
+    slot = ((pair.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
+    at = np.flatnonzero(np.bincount(slot, minlength=1 << SLOT_BITS)[slot] >= least)
+    pairs, number, counts = np.unique(pair[at], return_inverse=True, return_counts=True)
+    often = counts >= least
+    kept = often[number]
+    return at[kept], pairs[often], counts[often], (np.cumsum(often) - 1)[number[kept]]
+
+
 def re_pair(ids: np.ndarray, first: int, most: int) -> tuple[np.ndarray, np.ndarray]:
     """(symbols, rules): frequent neighbours replaced by new symbols from ``first`` on.
 
-    Each round counts all neighbouring pairs, gives the frequent ones a rule and replaces
-    their occurrences, every other one where occurrences overlap.
+    Each round counts all neighbouring pairs and gives the frequent ones a rule, the most
+    frequent first and half of the free symbols at most, so that later rounds can pair what
+    they made; occurrences are replaced from left to right, every other one where they
+    overlap. Rounds go on until no pair is frequent, no symbol is free, or a round leaves
+    the sequence almost as long as it was.
     """
     symbols, rules = ids.astype(np.int64), np.zeros((0, 2), np.int64)
-    for _ in range(ROUNDS):
-        free = most - len(rules)
-        if len(symbols) < 2 or free <= 0:
-            break
+    while len(symbols) > 1 and len(rules) < most:
+        before, free = len(symbols), most - len(rules)
         pair = (symbols[:-1] << 32) | symbols[1:]
-        slot = ((pair.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(44)).astype(np.int64)
-        holder = np.full(1 << 20, -1, np.int64)
-        holder[slot] = pair  # one pair of each slot
-        same = holder[slot] == pair
-        count = np.bincount(slot[same], minlength=1 << 20)
-        often = np.flatnonzero(count >= LEAST_COUNT)
-        if not len(often):
+        at, pairs, counts, number = frequent_pairs(pair, LEAST_COUNT)
+        if not len(pairs):
             break
-        if len(often) > (share := max(1, free // 2)):
-            often = often[np.argsort(-count[often], kind="stable")[:share]]
-        number = np.full(1 << 20, -1, np.int64)
-        number[often] = np.arange(len(often)) + first + len(rules)
-        found = np.where(same, number[slot], -1)
-        at = np.flatnonzero(found >= 0)
+        if len(pairs) > (share := max(1, free // 2)):
+            chosen = np.zeros(len(pairs), bool)
+            chosen[np.argsort(-counts, kind="stable")[:share]] = True
+            kept = chosen[number]
+            at, number, pairs = at[kept], (np.cumsum(chosen) - 1)[number[kept]], pairs[chosen]
         run = np.flatnonzero(np.diff(at, prepend=-2) > 1)
         within = np.arange(len(at)) - np.repeat(run, np.diff(np.append(run, len(at))))
-        at = at[within % 2 == 0]
-        rules = np.concatenate([rules, np.stack([holder[often] >> 32, holder[often] & 0xFFFFFFFF], axis=1)])
-        symbols[at] = found[at]
+        at, number = at[within % 2 == 0], number[within % 2 == 0]
+        symbols[at] = first + len(rules) + number
         keep = np.ones(len(symbols), bool)
         keep[at + 1] = False
         symbols = symbols[keep]
+        rules = np.concatenate([rules, np.stack([pairs >> 32, pairs & 0xFFFFFFFF], axis=1)])
+        if len(symbols) > before - before // LEAST_GAIN:
+            break
     return symbols, rules
 
 
