@@ -8,7 +8,19 @@ from pyspark.sql import functions as F
 
 from tastegraph.session import fresh_path, stage
 
-__all__ = ["fresh_path", "stage", "read_table", "components", "id_filter", "filter_place", "may_hold", "text_key", "WORD"]
+__all__ = [
+    "WORD",
+    "components",
+    "filter_place",
+    "fresh_path",
+    "given_back",
+    "id_filter",
+    "may_hold",
+    "plain",
+    "read_table",
+    "stage",
+    "text_key",
+]
 
 #: A word, for Spark's and DuckDB's regular expressions alike.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -18,6 +30,21 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def plain(docs: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """The rows with columns ``given_0``, ``given_1``..., and which of them each name became.
+
+    Columns that an operator adds cannot clash with these, whatever the caller's are called;
+    ``given_back`` restores the names.
+    """
+    names = [f"given_{i}" for i in range(len(docs.columns))]
+    return docs.toDF(*names), dict(zip(docs.columns, names))
+
+
+def given_back(rows: DataFrame, docs: DataFrame) -> DataFrame:
+    """The caller's columns alone, under their own names."""
+    return rows.select(*[f"given_{i}" for i in range(len(docs.columns))]).toDF(*docs.columns)
+
+
 def text_key(column: str = "text") -> Column:
     """Tells rows without or with equal ids apart; a null text counts as empty."""
     return F.xxhash64(F.coalesce(F.col(column), F.lit("")))

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tastegraph.llm import words
-from tastegraph.llm.common import FILTER_BITS, id_filter, may_hold, stage, text_key
+from tastegraph.llm.common import FILTER_BITS, given_back, id_filter, may_hold, plain, stage, text_key
 
 _SHIFT = np.uint64(64 - FILTER_BITS)
 
@@ -131,7 +131,8 @@ def find_items(
 def clean(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", **settings) -> DataFrame:
     """The documents that contain no item, with all their columns."""
     hit = find_items(docs, items, id_col, text_col, **settings)
-    hit = hit.select(F.col(id_col).alias("__id"), F.col("text_key").alias("__key")).distinct()
-    named = docs.withColumn("__text_key", text_key(text_col))
-    same = (F.col("__text_key") == F.col("__key")) & F.col(id_col).eqNullSafe(F.col("__id"))
-    return named.join(hit, same, "left_anti").select(docs.columns)
+    hit = hit.select(F.col(id_col).alias("hit_id"), F.col("text_key").alias("hit_key")).distinct()
+    rows, at = plain(docs)
+    rows = rows.withColumn("key", text_key(at[text_col]))
+    same = (F.col("key") == F.col("hit_key")) & F.col(at[id_col]).eqNullSafe(F.col("hit_id"))
+    return given_back(rows.join(hit, same, "left_anti"), docs)

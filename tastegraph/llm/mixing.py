@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tastegraph.llm import words
-from tastegraph.llm.common import stage, text_key
+from tastegraph.llm.common import given_back, plain, stage, text_key
 
 #: Weights of the sources in code point order (null last), repeating.
 WEIGHTS = (5, 2, 1)
@@ -190,13 +190,16 @@ def apply_mix(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source
     """The documents as often as the mix takes them, with all their columns."""
     taken = mix(docs, id_col, source_col, text_col, weights).where("copies > 0")
     taken = taken.select(
-        F.col(id_col).alias("__id"), F.col("source").alias("__source"), F.col("text_key").alias("__key"), F.col("copies").alias("__copies")
+        F.col(id_col).alias("mix_id"),
+        F.col("source").alias("mix_source"),
+        F.col("text_key").alias("mix_key"),
+        F.sequence(F.lit(1), F.col("copies")).alias("copies"),
     ).distinct()
-    named = docs.withColumn("__text_key", text_key(text_col))
+    rows, at = plain(docs)
+    rows = rows.withColumn("key", text_key(at[text_col]))
     same = (
-        (F.col("__text_key") == F.col("__key"))
-        & F.col(id_col).eqNullSafe(F.col("__id"))
-        & F.col(source_col).cast("string").eqNullSafe(F.col("__source"))
+        (F.col("key") == F.col("mix_key"))
+        & F.col(at[id_col]).eqNullSafe(F.col("mix_id"))
+        & F.col(at[source_col]).cast("string").eqNullSafe(F.col("mix_source"))
     )
-    copies = F.explode(F.sequence(F.lit(1), F.col("__copies"))).alias("__copy")
-    return named.join(taken, same).select(*docs.columns, copies).drop("__copy")
+    return given_back(rows.join(taken, same).select(*at.values(), F.explode("copies").alias("copy")), docs)

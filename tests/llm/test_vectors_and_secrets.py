@@ -12,7 +12,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tastegraph.llm import hard_negatives, ngram_join, queries, secret_scan, whitening
+from tastegraph.llm import decontaminate, hard_negatives, mixing, ngram_join, quality_sampling, queries, secret_scan, whitening
 
 INF, NAN = float("inf"), float("nan")
 VECTORS = "vec_id long, embedding array<float>, label int, id long, x string, block int, best int, group int, dims int"
@@ -275,6 +275,24 @@ def test_pairs_paths_and_stars_are_one_component_each(spark, monkeypatch, split)
     assert sorted(r["doc_id"] for r in ngram_join.keep_one(frame).collect()) == [0, 100, 200]
 
 
+CLASHING = ["__key", "__text_key", "__id", "__copy", "__copies", "__best_id", "__source", "key", "copies", "given_0", "hit_id", "mix_key", "kept_id", "copy"]
+
+
+def test_filters_keep_columns_of_any_name(spark):
+    """What the caller brings comes back unchanged, whatever it is called."""
+    text = " ".join(f"w{i}" for i in range(60))
+    rows = [(i, f"{text} {i % 2} tail{i}" if i < 4 else f"other{i} " * 30, f"s{i % 2}", *[f"{c}{i}" for c in CLASHING]) for i in range(8)]
+    kind = "doc_id long, text string, source string, " + ", ".join(f"`{c}` string" for c in CLASHING)
+    docs = spark.createDataFrame(rows, kind)
+    whole = set(rows)
+    items = spark.createDataFrame([(1, "other7 " * 6)], "item_id long, text string")
+    labels = spark.createDataFrame([(i, int(i != 6), 0) for i in range(8)], "doc_id long, quality int, toxic int")
+    for done in (decontaminate.clean(docs, items), mixing.apply_mix(docs), ngram_join.keep_one(docs), quality_sampling.keep(docs, labels)):
+        got = [tuple(r) for r in done.collect()]
+        assert done.columns == docs.columns and got and set(got) <= whole
+    assert {r["doc_id"] for r in decontaminate.clean(docs, items).collect()} == set(range(7))
+
+
 def test_registered_vector_queries_cover_their_tables(spark):
     sf_dir = "/root/testdata/sf0.001"
     rows = spark.read.parquet(f"{sf_dir}/embeddings.parquet").count()
