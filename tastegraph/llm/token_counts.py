@@ -10,11 +10,13 @@ encoding of a longer prefix is the one suffix that forms a token and stays whole
 the last token before it, so a state and a byte determine the next state and the emitted
 count. Transitions are kept in a table that all texts of a worker share.
 
-Texts are cut into chunks of equal length, and all chunks of a block step through the
+Texts are cut into chunks of equal length, and all chunks of a segment step through the
 table side by side. A chunk with a piece's beginning inside maps every entry state to one
-exit state and a count that depends on the entry only up to that beginning; a chunk
-without one maps states through all of its bytes. These maps compose, and a scan over the
-chunks gives each its entry state.
+exit state, and only its count up to that beginning depends on the entry; these constant
+maps are composed at once. A chunk inside a long piece has a map over all states, of which
+only the one entry that occurs is followed: such chunks are walked one after another, the
+runs of all long pieces side by side. Segments hand their exit state on, so the table can
+be emptied between any two of them, within a text too.
 """
 
 from __future__ import annotations
@@ -31,6 +33,8 @@ from tastegraph.llm import words
 from tastegraph.llm.common import text_key
 
 CHUNK = 256
+#: Bytes that are walked between two looks at the table's size (whole chunks).
+SEGMENT = 1 << 20
 #: States that a worker keeps; beyond, it forgets all and finds them anew.
 MOST_STATES = 300_000
 _SLOT_BITS = 22
@@ -70,10 +74,8 @@ class PieceCounter:
     def forget(self) -> None:
         self.number: dict[tuple, int] = {}
         self.states: list[tuple] = []
-        # Transitions by hash of (state, byte), with open addressing.
-        self.keys = np.full(1 << _SLOT_BITS, -1, np.int64)
-        self.next = np.zeros(1 << _SLOT_BITS, np.int32)
-        self.emit = np.zeros(1 << _SLOT_BITS, np.int8)
+        self.bits = _SLOT_BITS
+        self._empty_table()
         self.known = 0
         self._state(((0, b"", 0),))
 
@@ -127,18 +129,35 @@ class PieceCounter:
         emitted = 1 - spent
         # Tokens since the end of the piece so far are counted back from the new end.
         kept = tuple((node, before, count + emitted) for node, before, count in moved if self.children[node])
-        key = state << 8 | byte
+        if self.known > len(self.keys) // 2:
+            self._grow()
+        self._put(state << 8 | byte, self._state((*kept, (0, last, 0))), emitted)
+        self.known += 1
+
+    def _put(self, key: int, after: int, emitted: int) -> None:
         slot = int(self._slots(np.array([key]))[0])
         while self.keys[slot] >= 0:
             slot = (slot + 1) % len(self.keys)
-        self.keys[slot], self.emit[slot] = key, emitted
-        self.next[slot] = self._state((*kept, (0, last, 0)))
-        self.known += 1
+        self.keys[slot], self.next[slot], self.emit[slot] = key, after, emitted
+
+    def _grow(self) -> None:
+        """Twice the slots; every transition keeps its state and count."""
+        held = np.flatnonzero(self.keys >= 0)
+        rows = zip(self.keys[held].tolist(), self.next[held].tolist(), self.emit[held].tolist())
+        self.bits += 1
+        self._empty_table()
+        for row in rows:
+            self._put(*row)
+
+    def _empty_table(self) -> None:
+        # Transitions by hash of (state, byte), with open addressing.
+        self.keys = np.full(1 << self.bits, -1, np.int64)
+        self.next = np.zeros(1 << self.bits, np.int32)
+        self.emit = np.zeros(1 << self.bits, np.int8)
 
-    @staticmethod
-    def _slots(keys: np.ndarray) -> np.ndarray:
+    def _slots(self, keys: np.ndarray) -> np.ndarray:
         mixed = keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-        return (mixed >> np.uint64(64 - _SLOT_BITS)).astype(np.int64)
+        return (mixed >> np.uint64(64 - self.bits)).astype(np.int64)
 
     def _find(self, keys: np.ndarray) -> np.ndarray:
         """Slots of the keys, -1 for those that are not there."""
@@ -262,10 +281,20 @@ class Counter:
         return total
 
     def _walk(self, data: np.ndarray, begins: np.ndarray) -> np.ndarray:
-        """Emitted count per byte: chunks side by side, their maps composed by a scan."""
+        """Emitted count per byte, segment after segment."""
+        pieces, parts, held = self.pieces, [], ((0, b"", 0),)
+        for low in range(0, len(data), SEGMENT):
+            if pieces.full():
+                pieces.forget()
+            part = slice(low, low + SEGMENT)
+            emitted, last = self._segment(data[part], begins[part], pieces._state(held))
+            held = pieces.states[last]
+            parts.append(emitted)
+        return np.concatenate(parts)
+
+    def _segment(self, data: np.ndarray, begins: np.ndarray, enter: int) -> tuple[np.ndarray, int]:
+        """(emitted count per byte, exit state): chunks side by side, entered one after another."""
         pieces = self.pieces
-        if pieces.full():
-            pieces.forget()
         n = len(data)
         chunks = -(-n // CHUNK)
         pad = chunks * CHUNK - n
@@ -283,11 +312,11 @@ class Counter:
                 continue
             now = np.where(cuts[at, lanes], 0, state[lanes])
             state[lanes], out[at, lanes] = pieces.step(now, columns[at, lanes])
-        # Scan: a chunk with a beginning exits in the state just found, whatever it is
-        # entered with; entry states run on through chunks without one.
+        # A chunk with a beginning exits in the state just found, whatever it is entered
+        # with; entry states run on through chunks without one.
         entered = np.zeros(chunks, bool)
-        ready = np.concatenate([[False], synced[:-1]])
-        entry = np.concatenate([[0], state[:-1]]).astype(np.int32)
+        ready = np.concatenate([[True], synced[:-1]])
+        entry = np.concatenate([[enter], state[:-1]]).astype(np.int32)
         while True:
             lanes = np.flatnonzero(ready & ~entered & (head > 0))
             if not len(lanes):
@@ -298,11 +327,13 @@ class Counter:
                 after, out[at, lanes[move]] = pieces.step(now[move], columns[at, lanes[move]])
                 now[move] = after
             entered[lanes] = True
-            through = lanes[~synced[lanes]] + 1
-            through = through[through < chunks]
-            entry[through] = now[~synced[lanes]][: len(through)]
-            ready[through] = True
-        return out.T.reshape(-1)[:n]
+            open_lanes = ~synced[lanes]
+            state[lanes[open_lanes]] = now[open_lanes]
+            through = lanes[open_lanes] + 1
+            inside = through < chunks
+            entry[through[inside]] = now[open_lanes][inside]
+            ready[through[inside]] = True
+        return out.T.reshape(-1)[:n], int(state[-1])
 
 
 _counters: dict[str, Counter] = {}

@@ -9,10 +9,11 @@ import re
 from fractions import Fraction
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from tastegraph.llm import decontaminate, hard_negatives, mixing, ngram_join, quality_sampling, queries, secret_scan, whitening
+from tastegraph.llm import decontaminate, hard_negatives, mixing, ngram_join, quality_sampling, queries, secret_scan, token_counts, whitening, words
 
 INF, NAN = float("inf"), float("nan")
 VECTORS = "vec_id long, embedding array<float>, label int, id long, x string, block int, best int, group int, dims int"
@@ -275,6 +276,22 @@ def test_pairs_paths_and_stars_are_one_component_each(spark, monkeypatch, split)
     assert sorted(r["doc_id"] for r in ngram_join.keep_one(frame).collect()) == [0, 100, 200]
 
 
+def test_token_counts_when_the_table_grows_and_is_emptied(monkeypatch):
+    """Random letters without white space, segments inside one piece, a table that fills up."""
+    from tokenizers import Tokenizer
+
+    path = queries.vocabulary("byte_bpe_50k.json")
+    rng = random.Random(6)
+    texts = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(30_000)), "z" * 9_000, "".join(rng.choice("ab 1.é") for _ in range(9_000))]
+    want = [len(Tokenizer.from_file(path).encode(t, add_special_tokens=False).ids) for t in texts]
+    for bits, segment, states in ((8, 1 << 20, 10**9), (12, 512, 300), (22, 256, 10**9)):
+        monkeypatch.setattr(token_counts, "_SLOT_BITS", bits)
+        monkeypatch.setattr(token_counts, "SEGMENT", segment)
+        monkeypatch.setattr(token_counts, "MOST_STATES", states)
+        counts = token_counts.Counter(path)
+        assert np.concatenate([counts.count(b) for b in words.blocks(pa.array(texts))]).tolist() == want
+
+
 CLASHING = ["__key", "__text_key", "__id", "__copy", "__copies", "__best_id", "__source", "key", "copies", "given_0", "hit_id", "mix_key", "kept_id", "copy"]
 
 
