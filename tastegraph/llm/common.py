@@ -6,7 +6,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tastegraph.session import fresh_path, stage
+from tastegraph.session import free, fresh_path, stage
 
 __all__ = [
     "WORD",
@@ -80,7 +80,8 @@ def components(links: DataFrame) -> DataFrame:
             .where("u <> v")
             .distinct()
         )
-        edges = stage(small, "edges")
+        edges, old = stage(small, "edges"), edges
+        free(large, old)
         now = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == before:
             break
