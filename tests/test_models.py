@@ -190,3 +190,10 @@ def test_sgd_beats_the_majority_class(spark):
     rows = registry.all_queries()["sgd_modified_huber"](spark, "/root/testdata/sf0.01").collect()
     right = sum(r["label"] == r["prediction"] for r in rows)
     assert right > max(sum(r["label"] == c for r in rows) for c in (-1, 1))
+
+
+def test_tree_counts_stay_small_in_a_task(docs):
+    """A task holds the counts of one group of nodes; four of them share an executor's heap."""
+    vocabulary = features.fit_vocabulary(docs, "review_id", max_features=12)
+    grown = trees.fit_decision_tree(trees.with_terms(docs), vocabulary).stages[-1]
+    assert grown.getMaxMemoryInMB() <= 256
