@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from tastegraph import constants as K
+from tastegraph.functions import stemming
 from tastegraph.functions import text as X
 from tastegraph.functions.arrays import last_per_id, value_counts
 from tastegraph.functions.stemming import stem
@@ -138,3 +140,13 @@ def test_abbreviations_are_learned_from_their_periods(spark):
     count = docs.select(sentences.sentence_count(F.col("t"), found).alias("n")).agg(F.min("n"), F.max("n")).first()
     assert tuple(count) == (2, 3)
     assert sentences.fit_abbreviations(docs.limit(0), "t") == ()
+
+
+def test_stemming_holds_a_few_rows_of_a_batch(monkeypatch):
+    held, whole = [], stemming.stem_rows
+    monkeypatch.setattr(stemming, "stem_rows", lambda part: held.append(len(part)) or whole(part))
+    batch = pa.array([None, "", *[f"running games number{i % 9}" for i in range(5_000)]])
+    found = stemming.stem_in_parts(batch)
+    assert max(held) <= 1024 and sum(held) == len(batch)
+    assert found.to_pylist() == whole(batch).to_pylist() and found[2].as_py() == "run game number0"
+    assert stemming.stem_in_parts(batch[:0]).to_pylist() == []
