@@ -20,16 +20,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tastegraph.llm import words
-from tastegraph.llm.common import given_back, plain, stage, text_key
+from tastegraph.llm.common import filter_place, free, given_back, id_filter, may_hold, plain, stage, text_key
+from tastegraph.operators.ranking import assign_row_id, running_total
 
 WORD_BITS, CHAR_BITS = 19, 16
 #: A document has the n-th of these n-grams if so many of its words repeat the one before.
 REPEATS = (1 / 8, 1 / 4, 1 / 2)
 SLOTS = (1 << WORD_BITS) + (1 << CHAR_BITS) + len(REPEATS)
-#: Labelled rows that the target model takes at most, those with the smallest hash.
-TARGET_ROWS = 1 << 17
-#: Labelled rows from which the floor is chosen, those with the smallest hash.
-FLOOR_ROWS = 1 << 15
 PRIOR, CHANCE, STEEPNESS = 1.0, 20.0, 3
 #: The sharpness holds for a floor of this size; at another the weights count relative to it.
 FLOOR, SHARPNESS, SEED = 6.0, 4.0, 20
@@ -53,58 +50,54 @@ def _slots(block: words.Block):
         yield word[first : first + count], three[begin:end], np.array(share, np.int64)
 
 
-def wanted_ids(labels: DataFrame, most: int = TARGET_ROWS) -> np.ndarray:
-    """Sorted ids of documents whose labels all say good and not toxic, ``most`` at most."""
-    good = labels.groupBy("doc_id").agg(F.min("quality").alias("q"), F.max("toxic").alias("t"))
-    good = good.where("doc_id IS NOT NULL AND q = 1 AND t = 0").select(F.col("doc_id").cast("long").alias("doc_id"))
-    order = F.xxhash64("doc_id", F.lit(SEED))
-    if (count := good.count()) > most:
-        # Only about twice the wanted rows reach the ordering.
-        good = good.where(F.pmod(order, F.lit(1 << 30)) < int((1 << 30) * min(1.0, 2 * most / count)))
-        good = good.orderBy(F.pmod(order, F.lit(1 << 30)), "doc_id").limit(most)
-    return np.sort(good.toArrow()["doc_id"].to_numpy())
+def _wanted(rows: DataFrame, labels: DataFrame) -> DataFrame:
+    """The rows (id, text) whose labels all say good and not toxic.
 
+    A bitmap of fixed size lets few other texts through to the join, which is by sorting at
+    every size, so the ids need not fit anywhere.
+    """
+    good = labels.groupBy(F.col("doc_id").cast("long").alias("__id")).agg(F.min("quality").alias("q"), F.max("toxic").alias("t"))
+    good = stage(good.where("__id IS NOT NULL AND q = 1 AND t = 0").select("__id"), "wanted")
+    shared = rows.sparkSession.sparkContext.broadcast(id_filter(good, filter_place("__id")))
 
-def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[np.ndarray, np.ndarray]:
-    """Log ratio per slot, and what it were for a wanted document without its label.
+    def work(batches):
+        for batch in batches:
+            held = may_hold(shared.value, batch.column(2).to_numpy())
+            yield pa.RecordBatch.from_arrays(batch.columns[:2], ["id", "text"]).filter(pa.array(held))
 
-    The table's size is fixed; the counts cover all documents.
-    """
-    spark = docs.sparkSession
-    wanted = spark.sparkContext.broadcast(wanted_ids(labels))
+    known = rows.where("id IS NOT NULL").withColumn("place", filter_place("id"))
+    likely = known.mapInArrow(work, "id long, text string")
+    return likely.join(good.hint("merge"), F.col("id") == F.col("__id"), "left_semi")
+
+
+def _sightings(rows: DataFrame) -> DataFrame:
+    """(slot, n): documents that hold an n-gram; slot ``SLOTS`` counts the documents."""
 
     def count(batches):
-        ids = wanted.value
-        raw, target = np.zeros(SLOTS + 1, np.int64), np.zeros(SLOTS + 1, np.int64)
+        seen = np.zeros(SLOTS + 1, np.int64)
         for batch in batches:
-            names = batch.column(0)
-            at = np.searchsorted(ids, names.fill_null(-1).to_numpy())
-            at[at == len(ids)] = 0
-            chosen = (ids[at] == names.fill_null(-1).to_numpy()) & names.is_valid().to_numpy(False) if len(ids) else at < 0
             for block in words.blocks(batch.column(1)):
-                for row, parts in enumerate(_slots(block)):
-                    found = np.unique(np.concatenate(parts))
-                    raw[found] += 1
-                    raw[SLOTS] += 1
-                    if chosen[block.row + row]:
-                        target[found] += 1
-                        target[SLOTS] += 1
-        used = np.flatnonzero(raw)
+                for parts in _slots(block):
+                    seen[np.unique(np.concatenate(parts))] += 1
+                    seen[SLOTS] += 1
+        used = np.flatnonzero(seen)
         for low in range(0, len(used), 1 << 16):
             part = used[low : low + (1 << 16)]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(part.astype(np.int32)), pa.array(raw[part].astype(np.int32)), pa.array(target[part].astype(np.int32))],
-                ["slot", "raw", "target"],
-            )
+            yield pa.RecordBatch.from_arrays([pa.array(part.astype(np.int32)), pa.array(seen[part].astype(np.int32))], ["slot", "n"])
 
+    return rows.mapInArrow(count, "slot int, n int").groupBy("slot").agg(F.sum("n").alias("n"))
+
+
+def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[np.ndarray, np.ndarray]:
+    """Log ratio per slot, and what it were for a wanted document without its label.
+
+    The table's size is fixed; the counts cover all documents, and all labels.
+    """
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    sums = rows.mapInArrow(count, "slot int, raw int, target int").groupBy("slot").agg(
-        F.sum("raw").alias("raw"), F.sum("target").alias("target")
-    ).toArrow()
-    wanted.destroy()
+    sums = {kind: _sightings(part).toArrow() for kind, part in (("raw", rows), ("target", _wanted(rows, labels)))}
     raw, target = np.zeros(SLOTS + 1), np.zeros(SLOTS + 1)
-    raw[sums["slot"].to_numpy()] = sums["raw"].to_numpy()
-    target[sums["slot"].to_numpy()] = sums["target"].to_numpy()
+    for counts, found in ((raw, sums["raw"]), (target, sums["target"])):
+        counts[found["slot"].to_numpy()] = found["n"].to_numpy()
     if not target[SLOTS]:
         return np.zeros(SLOTS, np.float32), np.zeros(SLOTS, np.float32)
     expected = raw[:SLOTS] * target[SLOTS] / raw[SLOTS]
@@ -131,57 +124,66 @@ def _shrunk(raw: np.ndarray, target: np.ndarray, expected: np.ndarray) -> np.nda
     return (ratio * (deviance / (deviance + CHANCE)) ** STEEPNESS).astype(np.float32)
 
 
-def choose_floor(
-    docs: DataFrame, labels: DataFrame, ratios: np.ndarray, unlabelled: np.ndarray, id_col: str = "doc_id", text_col: str = "text"
-) -> float:
-    """Log weight that puts most labelled documents on their side; -``FLOOR`` without labels."""
+def choose_floor(weights: DataFrame, labels: DataFrame) -> float:
+    """Log weight that puts most labelled documents on their side; -``FLOOR`` without wanted ones.
+
+    ``weights`` is what ``weigh`` gives with both tables. Every labelled document counts. The
+    places between different weights are compared by running totals over ranges of them.
+    """
     marks = labels.groupBy(F.col("doc_id").cast("long").alias("__id")).agg(F.min("quality").alias("q"), F.max("toxic").alias("t"))
     marks = marks.where("__id IS NOT NULL AND q IS NOT NULL AND t IS NOT NULL").selectExpr("__id", "q = 1 AND t = 0 AS wanted")
-    order = F.pmod(F.xxhash64("__id", F.lit(SEED + 1)), F.lit(1 << 30))
-    if (count := marks.count()) > FLOOR_ROWS:
-        marks = marks.where(order < int((1 << 30) * FLOOR_ROWS / count))
-    # About FLOOR_ROWS marks at most, so no text is shuffled for them.
-    marked = docs.select(F.col(id_col).cast("long").alias("__id"), F.col(text_col).alias("text")).join(F.broadcast(marks), "__id")
-    found = []
-    for wanted, table in (("wanted", unlabelled), ("NOT wanted", ratios)):
-        weights = weigh(marked.where(wanted), table, "__id", "text").select("log_weight").toArrow()
-        found.append(np.sort(weights["log_weight"].to_numpy()))
-    both = np.unique(np.concatenate(found))
-    if not len(found[0]) or not len(both):
+    marked = weights.withColumn("__id", F.col("id").cast("long")).join(marks, "__id")
+    steps = marked.groupBy(F.when(F.col("wanted"), F.col("unlabelled")).otherwise(F.col("log_weight")).alias("weight")).agg(
+        F.sum(F.when(F.col("wanted"), -1).otherwise(1)).alias("step"), F.count_if("wanted").alias("wanted")
+    )
+    steps = stage(steps, "floor")
+    if not steps.agg(F.sum("wanted")).first()[0]:
         return -FLOOR
-    places = np.concatenate([both[:1], (both[1:] + both[:-1]) / 2])
-    right = np.searchsorted(found[1], places) - np.searchsorted(found[0], places)
-    best = np.flatnonzero(right == right.max())
-    return float(places[best[len(best) // 2]])
-
-
-def weigh(docs: DataFrame, ratios: np.ndarray, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, text_key, n_words, log_weight) per document."""
-    table = docs.sparkSession.sparkContext.broadcast(ratios)
+    # What is on its side if the floor comes just below a weight, but for a constant.
+    totals = running_total(steps, [F.col("weight")], F.col("step"), "through")
+    sides = stage(totals.select("weight", (F.col("through") - F.col("step")).alias("right")), "floor")
+    most = sides.agg(F.max("right")).first()[0]
+    best = sides.where(F.col("right") == most)
+    middle = best.count() // 2
+    above = assign_row_id(best, [F.col("weight")], "place").where(F.col("place") == middle).first()["weight"]
+    below = sides.where(F.col("weight") < above).agg(F.max("weight")).first()[0]
+    free(steps, sides)
+    return above if below is None else (above + below) / 2
+
+
+def weigh(
+    docs: DataFrame, ratios: np.ndarray, id_col: str = "doc_id", text_col: str = "text", unlabelled: np.ndarray | None = None
+) -> DataFrame:
+    """(id, text_key, n_words, log_weight) per document; a second table gives column ``unlabelled``."""
+    tables = {"log_weight": ratios} | ({} if unlabelled is None else {"unlabelled": unlabelled})
+    shared = docs.sparkSession.sparkContext.broadcast(list(tables.values()))
+    names = list(tables)
 
     def work(batches):
-        ratio = table.value
-        telling = ratio != 0
+        ratios = shared.value
+        telling = np.logical_or.reduce([ratio != 0 for ratio in ratios])
         for batch in batches:
-            weight, count = [], []
+            weights, count = [[] for _ in ratios], []
             for block in words.blocks(batch.column(2)):
                 count.append(block.count)
                 for parts in _slots(block):
-                    found = np.concatenate([p[telling[p]] for p in parts])
-                    weight.append(float(ratio[np.unique(found)].sum(dtype=np.float64)))
+                    found = np.unique(np.concatenate([p[telling[p]] for p in parts]))
+                    for ratio, weight in zip(ratios, weights):
+                        own = ratio[found]
+                        weight.append(float(own[own != 0].sum(dtype=np.float64)))
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),
                     batch.column(1),
                     pa.array(np.concatenate(count) if count else [], pa.int64()),
-                    pa.array(weight, pa.float64()),
+                    *[pa.array(weight, pa.float64()) for weight in weights],
                 ],
-                ["id", "text_key", "n_words", "log_weight"],
+                ["id", "text_key", "n_words", *names],
             )
 
     rows = docs.select(F.col(id_col).alias("id"), text_key(text_col).alias("text_key"), F.col(text_col).cast("string").alias("text"))
     kind = rows.schema[0].dataType.simpleString()
-    return rows.mapInArrow(work, f"id {kind}, text_key long, n_words long, log_weight double")
+    return rows.mapInArrow(work, f"id {kind}, text_key long, n_words long, {', '.join(f'{n} double' for n in names)}")
 
 
 def kth_largest(rows: DataFrame, column: str, k: int) -> int | None:
@@ -226,12 +228,13 @@ def resample(
     chosen from the labels unless it is given.
     """
     ratios, unlabelled = fit(docs, labels, id_col, text_col)
+    weights = stage(weigh(docs, ratios, id_col, text_col, unlabelled if floor is None else None), "weights")
     if floor is None:
-        floor = choose_floor(docs, labels, ratios, unlabelled, id_col, text_col) if ratios.any() else -FLOOR
+        floor = choose_floor(weights, labels) if ratios.any() else -FLOOR
         sharpness *= FLOOR / max(abs(floor), 1e-3)
     noise = (F.shiftrightunsigned(F.xxhash64("id", "text_key", F.lit(seed)), 11) + 0.5) / float(1 << 53)
     key = F.floor((F.col("log_weight") * sharpness - F.log(-F.log(noise))) * _SCALE)
-    rows = stage(weigh(docs, ratios, id_col, text_col).withColumn("key", key), "weights")
+    rows = weights.drop("unlabelled").withColumn("key", key)
     k = rows.where(F.col("log_weight") >= floor).count()
     least = kth_largest(rows, "key", k)
     kept = F.lit(False) if least is None else F.col("key") >= F.lit(least)

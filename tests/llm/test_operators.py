@@ -498,3 +498,22 @@ def test_empty_tables(spark, empty, labels, tmp_path):
     assert archives.read_warc(spark, f"{tmp_path}/w").isEmpty()
     turns = spark.createDataFrame([], "conv_id long, turn long, role string, text string")
     assert chat.read_back(chat.format_paths(chat.turns_to_replies(turns))).isEmpty()
+
+
+def test_floor_counts_every_labelled_document(spark):
+    """More labels than any earlier cap, against the places between all weights by brute force."""
+    n = 50_000
+    ids = np.arange(n)
+    wanted = (ids * 7919) % 10 < 6
+    weight = np.round(((ids * 104729) % 1000) / 100 + np.where(wanted, 3, 0), 2)
+    table = pa.table({"id": ids, "log_weight": weight - 0.5 * wanted, "unlabelled": weight})
+    labels = pa.table({"doc_id": ids, "quality": wanted.astype(np.int32), "toxic": np.zeros(n, np.int32)})
+    chosen = quality_sampling.choose_floor(spark.createDataFrame(table), spark.createDataFrame(labels))
+    good, other = np.sort(weight[wanted]), np.sort(weight[~wanted])
+    both = np.unique(weight)
+    places = np.concatenate([both[:1], (both[1:] + both[:-1]) / 2])
+    right = np.searchsorted(other, places) - np.searchsorted(good, places)
+    best = np.flatnonzero(right == right.max())
+    assert chosen == pytest.approx(places[best[len(best) // 2]], abs=1e-9)
+    nothing = spark.createDataFrame(labels).withColumn("quality", F.lit(0))
+    assert quality_sampling.choose_floor(spark.createDataFrame(table), nothing) == -quality_sampling.FLOOR
