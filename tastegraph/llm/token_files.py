@@ -22,6 +22,7 @@ from __future__ import annotations
 import os
 import zlib
 from collections.abc import Iterator
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
@@ -41,6 +42,8 @@ SLOT_BITS = 20
 REMEMBERED = 1_500_000
 #: Bytes of texts that are split into words at once, and fresh words that are encoded in one text.
 _PIECE, _TOGETHER = 1 << 22, 256
+#: Bytes of texts that a task writing files encodes at once.
+TEXT_BYTES = 1 << 20
 
 
 class WordEncoder:
@@ -75,8 +78,9 @@ class WordEncoder:
         groups = [fresh[i : i + _TOGETHER] for i in range(0, len(fresh), _TOGETHER)]
         found = self.tokenizer.encode_batch(["\n".join(g) for g in groups], add_special_tokens=False)
         for group, one in zip(groups, found):
-            begin = np.cumsum([0, *(len(w) + 1 for w in group[:-1])])
-            places = np.fromiter((a for a, _ in one.offsets), np.int64, len(one))
+            begin = np.zeros(len(group), np.int64)
+            np.cumsum(np.fromiter(map(len, group[:-1]), np.int64, len(group) - 1) + 1, out=begin[1:])
+            places = np.fromiter(map(itemgetter(0), one.offsets), np.int64, len(one))
             counts.append(np.bincount(np.searchsorted(begin, places, "right") - 1, minlength=len(group)))
             flat.append(np.array(one.ids, np.uint32))
         return np.concatenate(flat), np.concatenate(counts)
@@ -97,7 +101,15 @@ class WordEncoder:
         """(ids of each word, one after another; number of ids of each word)."""
         if len(self.known) > REMEMBERED:
             self._forget()
-        hashes, first, number = np.unique(block.hashes(), return_index=True, return_inverse=True)
+        each = block.hashes()
+        # Any place of a word will do, so the order of equal hashes is left open.
+        order = np.argsort(each)
+        hashes = each[order]
+        fresh = np.ones(len(hashes), bool)
+        fresh[1:] = hashes[1:] != hashes[:-1]
+        hashes, first = hashes[fresh], order[fresh]
+        number = np.empty(len(order), np.int64)
+        number[order] = np.cumsum(fresh) - 1
         at = np.searchsorted(self.known, hashes)
         new = np.ones(len(hashes), bool)
         inside = at < len(self.known)
@@ -177,12 +189,32 @@ def frequent_pairs(pair: np.ndarray, least: int) -> tuple[np.ndarray, ...]:
     """
     slot = ((pair.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
     at = np.flatnonzero(np.bincount(slot, minlength=1 << SLOT_BITS)[slot] >= least)
-    pairs, number, counts = np.unique(pair[at], return_inverse=True, return_counts=True)
+    pairs, number, counts = _distinct(pair[at])
     often = counts >= least
     kept = often[number]
     return at[kept], pairs[often], counts[often], (np.cumsum(often) - 1)[number[kept]]
 
 
+def _distinct(pair: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(different pairs in order, each pair's number among them, counts).
+
+    Pairs of 16-bit symbols are sorted as values with their places in the low bits, which
+    takes a fraction of the time of sorting places by their pairs.
+    """
+    left, right = pair >> 32, pair & 0xFFFFFFFF
+    if not len(pair) or max(left.max(), right.max()) >= 1 << 16 or left.min() < 0:
+        return np.unique(pair, return_inverse=True, return_counts=True)
+    packed = (((left << 16) | right).view(np.uint64) << np.uint64(32)) | np.arange(len(pair), dtype=np.uint64)
+    packed.sort()
+    value, place = (packed >> np.uint64(32)).astype(np.int64), (packed & np.uint64(0xFFFFFFFF)).astype(np.int64)
+    start = np.flatnonzero(np.diff(value, prepend=-1))
+    counts = np.diff(np.append(start, len(value)))
+    number = np.empty(len(value), np.int64)
+    number[place] = np.repeat(np.arange(len(start)), counts)
+    value = value[start]
+    return (value >> 16 << 32) | (value & 0xFFFF), number, counts
+
+
 def re_pair(ids: np.ndarray, first: int, most: int) -> tuple[np.ndarray, np.ndarray]:
     """(symbols, rules): frequent neighbours replaced by new symbols from ``first`` on.
 
@@ -285,7 +317,20 @@ class Record:
         return expand(self.symbols[low:high], self.rules, self.first)[skip : skip + stop - start]
 
     def all_ids(self) -> np.ndarray:
-        return expand(self.symbols, self.rules, self.first)
+        """Ids of the whole block: each rule is expanded once, its uses are copies of that."""
+        table = expand(np.arange(self.first, self.first + len(self.rules)), self.rules, self.first)
+        each = self.rule_lengths.astype(np.int64)
+        rule = self.symbols >= self.first
+        used = self.symbols[rule].astype(np.int64) - self.first
+        length = np.ones(len(self.symbols), np.int64)
+        length[rule] = each[used]
+        begin = np.cumsum(length) - length
+        out = np.empty(int(length.sum()), np.uint32)
+        out[begin[~rule]] = self.symbols[~rule]
+        length = each[used]
+        inside = np.arange(int(length.sum())) - np.repeat(np.cumsum(length) - length, length)
+        out[np.repeat(begin[rule], length) + inside] = table[np.repeat((np.cumsum(each) - each)[used], length) + inside]
+        return out
 
 
 def records(data: bytes) -> Iterator[Record]:
@@ -327,7 +372,7 @@ def write_files(
             names, low = batch.column(0).to_pylist(), 0
             while low < len(names):
                 high, size, texts = low, 0, []
-                while high < len(names) and size < 1 << 21:
+                while high < len(names) and size < TEXT_BYTES:
                     texts.append(column[high].as_py())
                     size += len(texts[-1])
                     high += 1

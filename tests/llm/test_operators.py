@@ -284,6 +284,25 @@ def test_token_files_round_trip(spark, docs, rows, tmp_path):
         start += row["n_tokens"]
 
 
+def test_pairs_are_numbered_alike_for_narrow_and_wide_symbols():
+    rng = np.random.default_rng(5)
+    for most in (3, 1 << 16, 1 << 20):
+        pair = (rng.integers(0, most, 5000) << 32) | rng.integers(0, most, 5000)
+        wanted = np.unique(pair, return_inverse=True, return_counts=True)
+        for found, right in zip(token_files._distinct(pair), wanted, strict=True):
+            assert (found == right).all()
+    assert all(len(part) == 0 for part in token_files._distinct(np.zeros(0, np.int64)))
+
+
+def test_a_whole_block_expands_each_rule_once(monkeypatch):
+    ids = np.tile(np.arange(40, dtype=np.uint32), 500)
+    data = token_files.pack(0, 0, 0, [1], np.array([len(ids)]), ids, 50)
+    record, expand, seen = token_files.Record(memoryview(data)), token_files.expand, []
+    monkeypatch.setattr(token_files, "expand", lambda symbols, *rest: seen.append(len(symbols)) or expand(symbols, *rest))
+    assert (record.all_ids() == ids).all()
+    assert seen == [len(record.rules)]
+
+
 def test_grammar_expands_and_reads_at_random():
     rng = np.random.default_rng(4)
     ids = np.concatenate([rng.integers(0, 30, 5000), np.tile([7, 7, 7, 1], 500), [65535, 0]]).astype(np.uint32)
