@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tastegraph.operators import blocked, hybrid, recommender
+from tastegraph.operators.ranking import first_rows
 from tastegraph.session import ship_package
 
 
@@ -206,3 +207,21 @@ def test_als_gives_k_games_per_user(store):
     model, users, items = recommender.train_als(recommender.interactions(playtimes, games), rank=3, max_iter=3)
     ranked = recommender.recommend_als(model, users, items, 4)
     assert ranked.groupBy("user_id").count().filter("count != 4").isEmpty()
+
+
+def _counted(spark, rows, column):
+    """The rows, with an accumulator of how often one of them was computed."""
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("long")
+    def noted(value):
+        seen.add(1)
+        return value
+
+    return rows.withColumn(column, noted.asNondeterministic()(column)), seen
+
+
+def test_first_rows_computes_its_rows_twice(spark):
+    rows, seen = _counted(spark, spark.range(3000), "id")
+    assert first_rows(rows, [F.col("id")], 2000, few=100).count() == 2000
+    assert seen.value <= 6000
