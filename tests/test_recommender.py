@@ -209,6 +209,27 @@ def test_als_gives_k_games_per_user(store):
     assert ranked.groupBy("user_id").count().filter("count != 4").isEmpty()
 
 
+def test_hybrid_rounds_hold_only_users_and_games_with_samples(spark, monkeypatch):
+    pairs = spark.createDataFrame([(1, 10, 2.0), (2, 11, 1.0)], "user_id long, game_id long, weight double")
+    shares = spark.createDataFrame([(u, "a", 1.0) for u in range(1, 41)], "user_id long, category string, weight double")
+    games = spark.createDataFrame([(g, ["a"]) for g in (10, 11)], "game_id long, categories array<string>")
+    held, stage = [], hybrid.stage
+    pairs, shares, games = (stage(rows, "given") for rows in (pairs, shares, games))
+
+    def noted(rows, name):
+        out = stage(rows, name)
+        if name == "state":
+            held.append(out.where(F.col("kind") == hybrid.USERS).count())
+        return out
+
+    monkeypatch.setattr(hybrid, "stage", noted)
+    model = recommender.train_hybrid(pairs, shares, games, factors=2, epochs=2)
+    assert held == [2, 2, 2]
+    vectors = {r["user_id"]: r["vector"] for r in model.users.collect()}
+    assert sorted(vectors) == list(range(1, 41))
+    assert len({tuple(v) for v in vectors.values()}) == 40
+
+
 def _counted(spark, rows, column):
     """The rows, with an accumulator of how often one of them was computed."""
     seen = spark.sparkContext.accumulator(0)
