@@ -242,6 +242,17 @@ def _counted(spark, rows, column):
     return rows.withColumn(column, noted.asNondeterministic()(column)), seen
 
 
+def test_recommend_computes_the_playtimes_once(spark):
+    playtimes = spark.createDataFrame([(u, 10 + u % 3, 5.0) for u in range(30)], "user_id long, game_id long, playtime_forever double")
+    tags = spark.createDataFrame([(g, ["a", "b"]) for g in range(10, 14)], "game_id long, categories array<string>")
+    games = tags.withColumns({"normalized_score": F.lit(9.5), "score": F.lit(1.0)})
+    reviews = spark.createDataFrame([(1, 10, "x")], "review_id long, app_id long, app_name string")
+    counted, seen = _counted(spark, playtimes, "playtime_forever")
+    best = recommender.recommend(tags, counted, games, reviews, 2)
+    assert best.count() == 60
+    assert seen.value == 30
+
+
 def test_first_rows_computes_its_rows_twice(spark):
     rows, seen = _counted(spark, spark.range(3000), "id")
     assert first_rows(rows, [F.col("id")], 2000, few=100).count() == 2000
