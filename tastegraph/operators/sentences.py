@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tastegraph.functions.arrays import let
 from tastegraph.session import stage
 
 # Words are parted by ASCII white space; these may stand before and behind one.
@@ -19,6 +20,10 @@ WORDS = r"[^ \t\n\r\f]+"
 OPENING = r"^[\"'(\[{«“‘]+"
 CLOSING = r"[\"')\]}»”’]+$"
 OTHER_ENDS = r"[,;:!?]+$"
+#: What a word begins or ends with if the patterns can match; their ``$`` also stands in
+#: front of a line end that is no ASCII white space.
+LINE_ENDS = "\u0085\u2028\u2029"
+OPENERS, CLOSERS, OTHER_LAST = "\"'([{«“‘", "\"')]}»”’" + LINE_ENDS, ",;:!?" + LINE_ENDS
 #: Score from which a word is an abbreviation, and the share of periods it is held against.
 LEAST_SCORE, OWN_PERIODS = 0.3, 0.99
 
@@ -28,8 +33,9 @@ def words(text: Column) -> Column:
 
 
 def bare(word: Column) -> Column:
-    """A word without quotes and brackets around it."""
-    return F.regexp_replace(F.regexp_replace(word, OPENING, ""), CLOSING, "")
+    """A word without quotes and brackets around it; the patterns run where they can match."""
+    opened = F.when(F.left(word, F.lit(1)).isin(*OPENERS), F.regexp_replace(word, OPENING, "")).otherwise(word)
+    return F.when(F.right(word, F.lit(1)).isin(*CLOSERS), F.regexp_replace(opened, CLOSING, "")).otherwise(opened)
 
 
 def abbreviation_scores(docs: DataFrame, text: str) -> DataFrame:
@@ -38,11 +44,14 @@ def abbreviation_scores(docs: DataFrame, text: str) -> DataFrame:
     Types are lower case and without the last period; words with digits or without letters
     are none.
     """
-    tokens = docs.select(F.explode(words(F.col(text))).alias("w")).select(F.lower(bare(F.col("w"))).alias("w"))
+    # Words are counted as they stand first, so that each spelling is taken apart once.
+    spelled = docs.select(F.explode(words(F.col(text))).alias("w")).groupBy("w").agg(F.count(F.lit(1)).alias("n"))
+    tokens = spelled.select(F.lower(bare(F.col("w"))).alias("w"), "n")
     ended = F.col("w").endswith(".")
-    name = F.when(ended, F.expr("substr(w, 1, length(w) - 1)")).otherwise(F.regexp_replace("w", OTHER_ENDS, ""))
+    name = F.when(ended, F.expr("substr(w, 1, length(w) - 1)"))
+    name = name.when(F.right("w", F.lit(1)).isin(*OTHER_LAST), F.regexp_replace("w", OTHER_ENDS, "")).otherwise(F.col("w"))
     counts = tokens.groupBy(name.alias("type")).agg(
-        F.count(F.lit(1)).alias("n"), F.sum(ended.cast("long")).alias("with_period")
+        F.sum("n").alias("n"), F.sum(F.when(ended, F.col("n")).otherwise(0)).alias("with_period")
     )
     counts = stage(counts, "word-types")
     totals = counts.agg(F.sum("n").alias("n"), F.sum("with_period").alias("periods")).first()
@@ -72,10 +81,12 @@ def sentence_count(text: Column, abbreviations: tuple[str, ...]) -> Column:
     is no initial's.
     """
     known = list(abbreviations) or [""]
-    found = words(text)
+
+    def stripped(pair: Column) -> Column:
+        return F.struct(bare(pair["word"]).alias("word"), F.regexp_replace(pair["after"], OPENING, "").alias("after"))
 
     def breaks(pair: Column) -> Column:
-        word, after = bare(pair["word"]), F.regexp_replace(pair["after"], OPENING, "")
+        word, after = pair["word"], pair["after"]
         stem = F.lower(F.substring(word, F.lit(1), F.length(word) - 1))
         small = after.rlike(r"^\p{Ll}")
         capital = after.rlike(r"^\p{Lu}") & ~after.rlike(r"^\p{Lu}\.")
@@ -84,6 +95,14 @@ def sentence_count(text: Column, abbreviations: tuple[str, ...]) -> Column:
         stop = F.when(small | initial | stem.isin(known), False).when(number, capital).otherwise(True)
         return F.when(word.rlike(r"[!?]$"), True).when(word.endswith("."), stop).otherwise(False)
 
-    pairs = F.zip_with(found, F.slice(found, 2, F.greatest(F.size(found) - 1, F.lit(0))), lambda a, b: F.struct(a.alias("word"), b.alias("after")))
-    ends = F.filter(pairs, lambda p: p["after"].isNotNull() & breaks(p))
-    return F.when(F.size(found) == 0, 0).otherwise(F.size(ends) + 1).cast("int")
+    def count(found: Column) -> Column:
+        def ending(word: Column, at: Column) -> Column:
+            marked = F.contains(word, F.lit(".")) | F.contains(word, F.lit("!")) | F.contains(word, F.lit("?"))
+            return F.when(marked, F.struct(word.alias("word"), F.get(found, at + 1).alias("after")))
+
+        # Words without a mark are most of them and end nothing, so only the rest is taken apart.
+        pairs = F.filter(F.transform(found, ending), lambda p: p["after"].isNotNull())
+        ends = F.filter(F.transform(pairs, stripped), breaks)
+        return F.when(F.size(found) == 0, 0).otherwise(F.size(ends) + 1).cast("int")
+
+    return let(words(text), count)

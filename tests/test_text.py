@@ -150,3 +150,21 @@ def test_stemming_holds_a_few_rows_of_a_batch(monkeypatch):
     assert max(held) <= 1024 and sum(held) == len(batch)
     assert found.to_pylist() == whole(batch).to_pylist() and found[2].as_py() == "run game number0"
     assert stemming.stem_in_parts(batch[:0]).to_pylist() == []
+
+
+def test_sentence_count_takes_a_text_apart_once(spark):
+    texts = ["Hi there. (Go!) on", "a.\u0085 b", "e.g. this. That", "(x)\u0085 \"yes.\" Z.", "no end", " ", None]
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string").repartition(2)
+    counted = rows.select("i", sentences.sentence_count(F.col("t"), ("e.g",)).alias("n"))
+    assert [r["n"] for r in counted.orderBy("i").collect()] == [3, 1, 2, 2, 1, 0, None]
+    plan = counted._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_extract_all") == 1
+
+
+def test_words_are_counted_before_they_are_taken_apart(spark):
+    rows = spark.createDataFrame([("Dr. (Dr.) dr no;",), ("Dr. No",)], "t string")
+    found = sentences.abbreviation_scores(rows, "t").collect()
+    assert [(r["type"], r["n"], r["with_period"]) for r in found] == [("dr", 4, 3)]
+    grouped = rows.select(F.explode(sentences.words(F.col("t"))).alias("w"))
+    bare = grouped.distinct().select("w", sentences.bare(F.col("w")).alias("b")).collect()
+    assert {(r["w"], r["b"]) for r in bare} == {("Dr.", "Dr."), ("(Dr.)", "Dr."), ("dr", "dr"), ("no;", "no;"), ("No", "No")}
