@@ -54,9 +54,9 @@ def interactions(spark, sf):
 
 def content_scores(spark, sf):
     """Scores of every observed (user, game) pair."""
-    games = _games(spark, sf)
-    pairs = recommender.interactions(table(spark, sf, "playtimes"), games)
-    scores = recommender.content_scores(pairs, _shares(spark, sf), games)
+    games, played = stage(_games(spark, sf), "games"), stage(table(spark, sf, "playtimes"), "played")
+    pairs = recommender.interactions(played, games)
+    scores = recommender.content_scores(pairs, _shares(spark, sf, played), games)
     return rounded(scores, "predicted_score", digits=recommender.DECIMALS)
 
 

@@ -105,7 +105,7 @@ def game_score(spark, sf):
 
 def user_category_score(spark, sf):
     joined = join_tags_playtime(tag_lists(spark, sf), table(spark, sf, "playtimes"))
-    exploded = nested.explode_tags_outer(joined).withColumnRenamed("categories", "category")
+    exploded = nested.explode_tags_outer(recommender.near_users(joined)).withColumnRenamed("categories", "category")
     return recommender.user_category_score(exploded)
 
 

@@ -12,7 +12,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.ml.recommendation import ALS, ALSModel
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -49,11 +49,21 @@ def item_features(games: DataFrame) -> DataFrame:
 
 def user_category_profile(tags: DataFrame, playtimes: DataFrame) -> DataFrame:
     """(user_id, category, user_category_score): playtime summed over tagged games."""
-    joined = playtimes.join(tags, "game_id", "inner")
+    joined = near_users(playtimes.join(tags, "game_id", "inner").select("user_id", "categories", "playtime_forever"))
     rows = joined.select("user_id", F.explode("categories").alias("category"), "playtime_forever")
     return user_category_score(rows)
 
 
+def near_users(tagged: DataFrame) -> DataFrame:
+    """Rows with tag lists, a user's together, for sums per user and category.
+
+    Then the partial sums of a task are its users' categories; with users scattered over all
+    tasks they are nearly as many as the exploded rows. Dealt by a hash of the user, so that
+    sums still combine before their own shuffle and a heavy user may be split over tasks.
+    """
+    return tagged.withColumn("near", F.xxhash64("user_id")).hint("rebalance", F.col("near")).drop("near")
+
+
 def user_category_score(exploded: DataFrame) -> DataFrame:
     """Playtime per user and category; rows without a category are left out."""
     return (
@@ -86,15 +96,35 @@ def _tag_weights(games: DataFrame) -> DataFrame:
 
 
 def content_scores(pairs: DataFrame, shares: DataFrame, games: DataFrame) -> DataFrame:
-    """Content score of given (user_id, game_id) pairs; work is linear in the pairs."""
-    tagged = pairs.select("user_id", "game_id").join(_tag_weights(games), "game_id", "left")
-    matched = tagged.join(
-        shares.select("user_id", "category", F.col("weight").alias("share")),
-        ["user_id", "category"],
-        "left",
+    """Content score of given (user_id, game_id) pairs; work is linear in the pairs.
+
+    A pair meets its game's tags and its user's shares as one list each, so no row is
+    multiplied by the tags; the lists are bounded by the tags.
+    """
+    weighed = F.collect_list(F.struct("category", "w")).alias("tags")
+    tags = _tag_weights(games).groupBy("game_id").agg(weighed)
+    known = shares.where("user_id IS NOT NULL AND category IS NOT NULL AND weight IS NOT NULL")
+    users = known.groupBy("user_id").agg(F.collect_list(F.struct("category", "weight")).alias("p"))
+    users = users.select("user_id", _share_map(F.col("p")).alias("shares"))
+    met = pairs.select("user_id", "game_id").join(tags, "game_id", "left").join(users, "user_id", "left")
+    parts = F.filter(
+        F.transform("tags", lambda t: F.try_element_at("shares", t["category"]) * t["w"]), lambda x: x.isNotNull()
     )
-    score = F.coalesce(F.sum(F.col("share") * F.col("w")), F.lit(0.0))
-    return matched.groupBy("user_id", "game_id").agg(score.alias("predicted_score"))
+    raw = F.when(F.size(parts) > 0, F.aggregate(parts, F.lit(0.0), lambda total, x: total + x))
+    score = F.coalesce(F.sum("raw"), F.lit(0.0)).alias("predicted_score")
+    return met.select("user_id", "game_id", raw.alias("raw")).groupBy("user_id", "game_id").agg(score)
+
+
+def _share_map(entries: Column) -> Column:
+    """Category to share; the shares of a repeated category are added up."""
+    names = F.array_distinct(entries["category"])
+
+    def total(name: Column) -> Column:
+        own = F.filter(entries, lambda e: e["category"] == name)
+        return F.aggregate(own, F.lit(0.0), lambda so_far, e: so_far + e["weight"])
+
+    added = F.map_from_arrays(names, F.transform(names, total))
+    return F.when(F.size(names) == F.size(entries), F.map_from_entries(entries)).otherwise(added)
 
 
 def predict_for_user(user_id, shares: DataFrame, games: DataFrame) -> DataFrame:

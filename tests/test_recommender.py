@@ -257,3 +257,27 @@ def test_first_rows_computes_its_rows_twice(spark):
     rows, seen = _counted(spark, spark.range(3000), "id")
     assert first_rows(rows, [F.col("id")], 2000, few=100).count() == 2000
     assert seen.value <= 6000
+
+
+def test_partial_sums_are_taken_with_a_users_rows_together(spark):
+    played = spark.createDataFrame([(1, 7, 2.0), (1, 8, 3.0), (None, 7, 1.0), (2, 9, 4.0)], "user_id long, game_id long, playtime_forever double")
+    tags = spark.createDataFrame([(7, ["a", "b", "a"]), (8, ["a", None])], "game_id long, categories array<string>")
+    profile = recommender.user_category_profile(tags, played)
+    found = {tuple(r) for r in profile.collect()}
+    assert found == {(1, "a", 7.0), (1, "b", 2.0), (None, "a", 2.0), (None, "b", 1.0)}
+    plan = profile._jdf.queryExecution().optimizedPlan().toString()
+    assert "RebalancePartitions" in plan
+
+
+def test_content_scores_multiply_no_pair_by_its_tags(spark):
+    pairs = spark.createDataFrame([(1, 7), (1, 7), (1, 8), (2, 7), (None, 7), (1, None), (3, 7)], "user_id long, game_id long")
+    shares = spark.createDataFrame(
+        [(1, "a", 0.5), (1, "a", 0.25), (1, "b", 0.25), (1, None, 1.0), (2, "c", 1.0), (3, "a", None)],
+        "user_id long, category string, weight double",
+    )
+    games = spark.createDataFrame([(7, ["a", "b", "b"]), (8, ["c"])], "game_id long, categories array<string>")
+    scores = recommender.content_scores(pairs, shares, games)
+    found = {(r["user_id"], r["game_id"]): r["predicted_score"] for r in scores.collect()}
+    assert found == {(1, 7): 2 * (0.75 / 4 + 0.25 * 2 / 4), (1, 8): 0.0, (2, 7): 0.0, (None, 7): 0.0, (1, None): 0.0, (3, 7): 0.0}
+    joins = [x for x in scores._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Join" in x]
+    assert len(joins) == 2 and not any("category" in x for x in joins)
