@@ -197,3 +197,25 @@ def test_tree_counts_stay_small_in_a_task(docs):
     vocabulary = features.fit_vocabulary(docs, "review_id", max_features=12)
     grown = trees.fit_decision_tree(trees.with_terms(docs), vocabulary).stages[-1]
     assert grown.getMaxMemoryInMB() <= 256
+
+
+def test_terms_are_counted_per_different_token(spark):
+    texts = ["aa-bb aa a bb_c", "\u00c9t\u00e9 \u00e9t\u00e9\taa", "", " ", None, "x 1x 1x-aa"]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "review_id long, converted_text string")
+    found = {r["term"]: (r["n"], r["df"]) for r in features.term_statistics(docs, "review_id").collect()}
+    assert found == {"aa": (4, 3), "bb": (1, 1), "bb_c": (1, 1), "\u00e9t\u00e9": (2, 1), "1x": (2, 1)}
+    sparse = features.with_tfidf(docs, features.Vocabulary(("1x", "aa", "bb"), (1.0, 2.0, 1.0)))
+    rows = {r["review_id"]: (r["idx"], r["val"]) for r in sparse.collect()}
+    assert rows[2] == rows[3] == ([], []) and rows[4] == (None, None) and rows[1] == ([1], [1.0])
+    assert rows[0][0] == [1, 2] and rows[0][1] == pytest.approx([4 / 17**0.5, 1 / 17**0.5])
+    assert rows[5][0] == [0, 1] and rows[5][1] == pytest.approx([2**-0.5, 2**-0.5])
+    # Nothing sorts or counts a text's terms one by one any more.
+    plan = sparse._jdf.queryExecution().optimizedPlan().toString()
+    assert "array_sort" not in plan and "regexp_extract_all" not in plan
+
+
+def test_models_store_only_what_they_read(spark):
+    from registry import models
+
+    stored = models._converted(spark, "/root/testdata/sf0.001")
+    assert stored.columns == ["review_id", "app_id", "review_score", "review_votes", "converted_text"]
