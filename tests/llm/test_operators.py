@@ -536,3 +536,37 @@ def test_floor_counts_every_labelled_document(spark):
     assert chosen == pytest.approx(places[best[len(best) // 2]], abs=1e-9)
     nothing = spark.createDataFrame(labels).withColumn("quality", F.lit(0))
     assert quality_sampling.choose_floor(spark.createDataFrame(table), nothing) == -quality_sampling.FLOOR
+
+
+def test_ngram_join_keeps_only_entries_that_can_first_meet(spark, monkeypatch):
+    rng = random.Random(11)
+    pool = [f"v{i}" for i in range(60)]
+    passage = " ".join(rng.choice(pool) for _ in range(8))
+    prose = lambda n: " ".join(rng.choice(pool) for _ in range(n))
+    # One passage in texts that cannot link: sizes too far apart, or too little after it.
+    apart = [f"{passage} {prose(n)}" for n in (20, 60, 140, 300)]
+    base = prose(80).split()
+    near = [" ".join(base), " ".join([*base[:-1], "last"]), " ".join(["first", *base[1:]])]
+    rows = [(i, t) for i, t in enumerate(apart + near)]
+    kept = {}
+
+    def recorded(frame, name):
+        kept[name] = real(frame, name)
+        return kept[name]
+
+    real = ngram_join.stage
+    monkeypatch.setattr(ngram_join, "stage", recorded)
+    monkeypatch.setattr(ngram_join, "free", lambda *tables: None)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: r for r in ngram_join.link_documents(docs).collect()}
+    assert {i: (r["component_id"], r["links"]) for i, r in got.items()} == {
+        **{i: (i, 0) for i in range(4)}, 4: (4, 2), 5: (4, 2), 6: (4, 2)
+    }
+    assert {r["set_id"] for r in kept["shared"].collect()} == {got[i]["set_id"] for i in (4, 5, 6)}
+
+
+def test_ngram_join_builds_few_rows_at_once():
+    batch = pa.RecordBatch.from_arrays([pa.array(range(2500))], ["id"])
+    parts = list(ngram_join._pieces([batch, batch.slice(0, 0), batch]))
+    assert max(p.num_rows for p in parts) <= ngram_join.ROWS < 2500
+    assert [x for p in parts for x in p.column(0).to_pylist()] == [*range(2500), *range(2500)]
